@@ -2,5 +2,25 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from inkwell.operators import nested, packed
+from inkwell.session import table
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.citation_values(table(spark, sf_dir, "article_raw"))
+
+
+def p3_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.citation_table(table(spark, sf_dir, "article_raw"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cited = table(spark, sf_dir, "cited_ref").filter(F.col("title").isNotNull())
+    return packed.split_packed(cited, "ref_key", "authors", "author")
+
+
+QUERIES: dict = {f.__name__: f for f in (p3_found, p3_citations, p5_found)}
 ORACLE_SQL: dict[str, str] = {}
