@@ -3,11 +3,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from inkwell.llm import encode, leaks
+from inkwell.llm import encode, leaks, neardup, pieces
 from inkwell.session import table
 
 
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Question and answer of the rows of the cache that have a pair."""
+    cache = table(spark, sf_dir, "qa_cache").filter(F.col("response.qa").isNotNull())
+    return cache.select("qa_id", F.col("response.qa.question").alias("question"), F.col("response.qa.answer").alias("answer"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_pairs(_pairs(spark, sf_dir), "qa_id", [F.col("question"), F.col("answer")])
+
+
+def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(_pairs(spark, sf_dir), "qa_id", [F.col("question"), F.col("answer")])
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = pieces.split_texts(table(spark, sf_dir, "dataset"), with_text=False)
+    return cut.filter(F.col("piece") == 2).select("row_id").distinct()
+
+
+def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.split_texts(table(spark, sf_dir, "dataset"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -17,6 +41,6 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.select("doc_id", "item_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p8_ids, p9_found)}
 
 ORACLE_SQL: dict[str, str] = {}
