@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import encode, leaks, neardup, pieces
+from inkwell.llm import encode, knn, leaks, neardup, pieces
 from inkwell.session import table
 
 
@@ -32,6 +32,14 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.split_texts(table(spark, sf_dir, "dataset"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.similar_pairs(knn.nearest_rows(table(spark, sf_dir, "dataset")))
+
+
+def p7_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.nearest_rows(table(spark, sf_dir, "dataset"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -41,6 +49,6 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.select("doc_id", "item_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p8_ids, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p7_found, p7_knn, p8_ids, p9_found)}
 
 ORACLE_SQL: dict[str, str] = {}
