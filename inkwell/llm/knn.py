@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from inkwell.llm import vectors
 
 
-def nearest_rows(rows: DataFrame, key: str = "row_id", vector: str = "embed", dims: int = 128, k: int = 5, probes: int = 6, rerank: int = 64) -> DataFrame:
+def nearest_rows(rows: DataFrame, key: str = "row_id", vector: str = "embed", dims: int = 128, k: int = 5, probes: int = 8, rerank: int = 48) -> DataFrame:
     """``(key, rank, neighbour, cosine)``: for every row of a usable vector its ``k`` most similar other rows.
 
     Usable are ``dims`` finite values, not all zero; other rows (null vectors

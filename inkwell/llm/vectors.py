@@ -27,7 +27,7 @@ from inkwell.session import cut_lineage, spread
 SAMPLE = 16_384
 CODE_SAMPLE = 4_096
 MOST_CELLS = 4_096
-SUB = 4
+SUB = 2
 BLOCK = 4_096
 QUERIES = 4_096
 PARALLEL_WEIGHT = 5.3  # (d - 1) t^2 / (1 - t^2) for d = 128 and a threshold t of 0.2
@@ -174,7 +174,7 @@ def fit_index(classes: DataFrame, count: int, dims: int) -> Index:
     if not picked:
         return Index(np.eye(1, dims), np.ones(1), np.zeros((dims // SUB, 16, SUB)))
     x = unit([bytes(r.vec) for r in picked])
-    centres = fit_cells(x, int(np.clip(round(count**0.5), 8, MOST_CELLS)))
+    centres = fit_cells(x, int(np.clip(round(0.6 * count**0.5), 8, MOST_CELLS)))
     cell = (x @ centres.T).argmax(axis=1)
     residual = x - centres[cell]
     lengths = np.linalg.norm(residual, axis=1)
@@ -218,7 +218,7 @@ def scan(index: Index, cell: int, q: np.ndarray, x: np.ndarray, codes: np.ndarra
     return a, b, exact
 
 
-def nearest(classes: DataFrame, dims: int, k: int, probes: int = 6, rerank: int = 64, least: float | None = None) -> DataFrame:
+def nearest(classes: DataFrame, dims: int, k: int, probes: int = 8, rerank: int = 48, least: float | None = None) -> DataFrame:
     """``(rep, other, cosine)``: the ``k`` nearest other classes of each class, ties by smaller ``other``.
 
     ``classes`` is ``(rep bigint, ids, vec binary)`` with unique ``rep``.  With
