@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import encode, knn, leaks, neardup, pieces
+from inkwell.llm import clusters, encode, knn, leaks, neardup, pieces
 from inkwell.session import table
 
 
@@ -32,6 +32,16 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.split_texts(table(spark, sf_dir, "dataset"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.similarity_clusters(table(spark, sf_dir, "dataset")).select("cluster_id", "row_id")
+
+
+def p4_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cluster's size and three most typical rows."""
+    members = clusters.similarity_clusters(table(spark, sf_dir, "dataset"))
+    return members.filter(F.col("typical") <= 3)
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.similar_pairs(knn.nearest_rows(table(spark, sf_dir, "dataset")))
 
@@ -49,6 +59,6 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.select("doc_id", "item_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p7_found, p7_knn, p8_ids, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p4_found, p4_clusters, p7_found, p7_knn, p8_ids, p9_found)}
 
 ORACLE_SQL: dict[str, str] = {}
