@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import clusters, encode, knn, leaks, neardup, pieces
+from inkwell.llm import clusters, defects, encode, knn, leaks, neardup, pieces
 from inkwell.session import table
 
 
@@ -42,6 +42,10 @@ def p4_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.filter(F.col("typical") <= 3)
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return defects.defects(_pairs(spark, sf_dir), table(spark, sf_dir, "documents")).distinct()
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.similar_pairs(knn.nearest_rows(table(spark, sf_dir, "dataset")))
 
@@ -59,6 +63,6 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.select("doc_id", "item_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p4_found, p4_clusters, p7_found, p7_knn, p8_ids, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p4_found, p4_clusters, p6_found, p7_found, p7_knn, p8_ids, p9_found)}
 
 ORACLE_SQL: dict[str, str] = {}
