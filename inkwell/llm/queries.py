@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import clusters, defects, encode, knn, leaks, neardup, pieces
+from inkwell.llm import clusters, defects, encode, knn, leaks, neardup, pieces, privacy
 from inkwell.session import table
 
 
@@ -63,6 +63,16 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.select("doc_id", "item_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p4_found, p4_clusters, p6_found, p7_found, p7_knn, p8_ids, p9_found)}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = privacy.given_names(table(spark, sf_dir, "article_meta"), "authors")
+    return privacy.find_personal(table(spark, sf_dir, "documents"), given).select("doc_id", "kind", "pii").distinct()
+
+
+def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = privacy.given_names(table(spark, sf_dir, "article_meta"), "authors")
+    return privacy.redact_texts(table(spark, sf_dir, "documents"), given)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p4_found, p4_clusters, p6_found, p7_found, p7_knn, p8_ids, p9_found, p10_found, p10_redacted)}
 
 ORACLE_SQL: dict[str, str] = {}
