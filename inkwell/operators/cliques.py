@@ -12,7 +12,7 @@ from inkwell.session import cut_lineage
 
 BLOCK = 4_096
 #: Beyond this many rows, exact neighbours by blocks would multiply too many pairs of blocks.
-MOST_EXACT = 4_000_000
+MOST_EXACT = 1_000_000
 
 
 def similar(vectors: DataFrame, key: str, vector: str, least: float) -> DataFrame:

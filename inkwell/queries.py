@@ -19,7 +19,7 @@ from inkwell.plans.ingest import with_status
 from inkwell.plans.render import to_markdown
 from inkwell.providers import HashEmbedder, ScriptedModel
 from inkwell.schemas import RECORD
-from inkwell.session import table
+from inkwell.session import spread, table
 from inkwell.sources import jats, jsonl, listing
 from inkwell.streaming.ingest import windowed_counts
 
@@ -76,6 +76,11 @@ said as (select doc_id, lang, source, paragraph, unnest(s) as text, generate_sub
 """
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, over every core where their file has few row groups."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 # -- Texts --------------------------------------------------------------------------------------
 
 
@@ -84,7 +89,7 @@ select lang, source, count(distinct doc_id) as docs, count(distinct (doc_id, par
        cast(sum(length(text)) as bigint) as characters from said group by lang, source""")
 def sentence_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, paragraphs, sentences and characters of each language and source."""
-    said = expand.sentence_rows(table(spark, sf_dir, "documents").withColumn("k", F.struct("doc_id", "lang", "source")), "k")
+    said = expand.sentence_rows(_documents(spark, sf_dir).withColumn("k", F.struct("doc_id", "lang", "source")), "k")
     each = said.groupBy("k").agg(F.count_distinct("paragraph").alias("p"), F.count("*").alias("s"), F.sum(F.length("text")).alias("c"))
     return each.groupBy(F.col("k.lang").alias("lang"), F.col("k.source").alias("source")).agg(
         F.count("*").alias("docs"), F.sum("p").alias("paragraphs"), F.sum("s").alias("sentences"), F.sum("c").alias("characters")
@@ -93,24 +98,24 @@ def sentence_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select doc_id, md5({_sql_normalize('text')}) as digest, length({_sql_normalize('text')}) as characters from documents")
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", T.normalize_paragraph(F.col("text")).alias("t"))
+    rows = _documents(spark, sf_dir).select("doc_id", T.normalize_paragraph(F.col("text")).alias("t"))
     return rows.select("doc_id", F.md5("t").alias("digest"), F.length("t").cast("bigint").alias("characters"))
 
 
 @query(f"with {_SENTENCES} select doc_id, paragraph, sentence, text from said")
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = expand.sentence_rows(table(spark, sf_dir, "documents"), "doc_id")
+    rows = expand.sentence_rows(_documents(spark, sf_dir), "doc_id")
     return rows.select("doc_id", F.col("paragraph").cast("bigint").alias("paragraph"), F.col("sentence").cast("bigint").alias("sentence"), "text")
 
 
 @query(r"""select distinct doc_id, unnest(regexp_extract_all(text, '\bliver\b|\bkidney\b|\bgene\b', 0)) as match from documents where regexp_matches(text, '\bliver\b|\bkidney\b|\bgene\b')""")
 def separate_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expand.separate_text(table(spark, sf_dir, "documents"), ["liver", "kidney", "gene"]).select("doc_id", "match")
+    return expand.separate_text(_documents(spark, sf_dir), ["liver", "kidney", "gene"]).select("doc_id", "match")
 
 
 @query(r"select distinct doc_id, unnest(regexp_extract_all(text, 'p [<>=] [0-9.]+[0-9]', 0)) as match from documents where text is not null")
 def separate_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expand.separate_text(table(spark, sf_dir, "documents"), r"p [<>=] [0-9.]+[0-9]").select("doc_id", "match")
+    return expand.separate_text(_documents(spark, sf_dir), r"p [<>=] [0-9.]+[0-9]").select("doc_id", "match")
 
 
 @query(r"""with m as (select distinct doc_id, unnest(regexp_extract_all(text, '(?:\(|\[)[0-9, -]+(?:\]|\))', 0)) as match from documents where text is not null),
@@ -120,7 +125,7 @@ n as (select doc_id, match, len(ends) as k, try_cast(ends[1] as int) as a, try_c
 select doc_id, match, a as id from n where k = 1 and a is not null
 union all select doc_id, match, cast(unnest(generate_series(a, b)) as int) from n where k = 2 and a <= b""")
 def separate_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expand.separate_refs(table(spark, sf_dir, "documents")).select("doc_id", "match", "id")
+    return expand.separate_refs(_documents(spark, sf_dir)).select("doc_id", "match", "id")
 
 
 _GENE_TEXT = "concat('Loss of ', substr(lower(p_name), 1, 3), 'ABC and rpoB near ', p_name, ' with log2 and xyzA', p_partkey % 1000, '.')"
@@ -157,14 +162,14 @@ def cache_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""select doc_id, md5({_sql_replace('text', (rf'\b([a-zA-Z]){_B}*={_B}*([0-9.]+)', r'$\1 = \2$'), (rf'\b(p|P){_B}*[<>=]{_B}*([0-9.]+)', r'$\1 \\leq \2$'),
     (rf'\b(n|N){_B}*={_B}*([0-9,]+)', r'$n = \2$'), (r'([0-9.]+)%', r'$\1\\%$'), (r'([0-9.]+)/([0-9.]+)', r'$\\frac{\1}{\2}$'))}) as digest from documents""")
 def math_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(M.math_format(F.col("text"))).alias("digest"))
+    return _documents(spark, sf_dir).select("doc_id", F.md5(M.math_format(F.col("text"))).alias("digest"))
 
 
 @query()
 def species_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Emphasis needs look-around, which the other engine's expressions lack."""
     text = M.species_emphasis(M.gene_emphasis(F.col("text")))
-    return table(spark, sf_dir, "documents").filter(F.col("text") != text).select("doc_id", F.md5(text).alias("digest"))
+    return _documents(spark, sf_dir).filter(F.col("text") != text).select("doc_id", F.md5(text).alias("digest"))
 
 
 @query("""select journal_abbrev, string_agg('# Article ' || i || '/' || n || chr(58) || chr(10) || chr(10) || pmc_id, chr(10) || chr(10) order by i) as context from
@@ -246,14 +251,14 @@ def repeat_sub(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.repeat_sub(heads.unionByName(rows), "l_orderkey", "n", ["c0", "c1"])
 
 
-@query("""select 'article_meta' as "table", cast(row_number() over (order by pmc_id, loaded_at) as int) as row, concat_ws('; ', 'title=' || nullif(nullif(title, ''), chr(160)), 'year=' || year, 'journal=' || nullif(nullif(journal, ''), chr(160)), 'license=' || nullif(nullif(license, ''), chr(160))) as text from article_meta
+@query("""select journal_abbrev as "table", cast(row_number() over (partition by journal_abbrev order by pmc_id, loaded_at) as int) as row, concat_ws('; ', 'title=' || nullif(nullif(title, ''), chr(160)), 'year=' || year, 'journal=' || nullif(nullif(journal, ''), chr(160)), 'license=' || nullif(nullif(license, ''), chr(160))) as text from article_meta
 where coalesce(title, cast(year as varchar), journal, license, '') <> ''""")
 def collapse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     meta = table(spark, sf_dir, "article_meta").filter("coalesce(title, cast(year as string), journal, license, '') <> ''")
-    rows = meta.withColumn("row", F.row_number().over(Window.orderBy("pmc_id", "loaded_at")))
-    return reshape.collapse_rows(rows, F.lit("article_meta"), "row", ["title", "year", "journal", "license"])
+    rows = meta.withColumn("row", F.row_number().over(Window.partitionBy("journal_abbrev").orderBy("pmc_id", "loaded_at")))
+    return reshape.collapse_rows(rows, "journal_abbrev", "row", ["title", "year", "journal", "license"])
 
 
 @query("""select s_suppkey, r_name || '; ' || n_name || '; ' || s_name as path from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""")
