@@ -145,7 +145,8 @@ def divide(failing: DataFrame, classes: DataFrame, least: float) -> DataFrame:
 
     stays = F.when(F.col("all"), F.col("rep") != F.col("weakest")).otherwise((F.col("rep") == F.col("seed")) | reaches("vec", "seed_vec"))
     sides = cut_lineage(rows.select("cluster", "rep", stays.alias("stays")))
-    return sides.select("rep", F.min("rep").over(Window.partitionBy("cluster", "stays")).alias("cluster"))
+    first = sides.groupBy("cluster", "stays").agg(F.min("rep").alias("first"))
+    return sides.join(first, ["cluster", "stays"]).select("rep", F.col("first").alias("cluster"))
 
 
 def similarity_clusters(
