@@ -75,7 +75,7 @@ def table_markdown(name: Column, header: Column, rows: Column) -> Column:
 
 def heading(path: Column) -> Column:
     """The heading of a section path: its last part, the deeper the more parts there are."""
-    parts = F.filter(F.transform(F.split(path, ";"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(path, ";"), lambda p: F.trim(p)), lambda p: p != "")
     level = F.least(F.size(parts) + 1, F.lit(6))
     return F.concat(F.repeat(F.lit("#"), level), F.lit(" "), F.element_at(parts, -1))
 
