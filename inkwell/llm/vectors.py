@@ -30,6 +30,7 @@ MOST_CELLS = 4_096
 SUB = 2
 BLOCK = 4_096
 QUERIES = 4_096
+SCANNED = 256
 PARALLEL_WEIGHT = 5.3  # (d - 1) t^2 / (1 - t^2) for d = 128 and a threshold t of 0.2
 KEPT_COPIES = 6
 
@@ -102,10 +103,11 @@ class Index:
         return assign_codes((x - self.centres[cell]) / self.scales[cell][:, None], x, self.books)
 
     def tables(self, q: np.ndarray) -> np.ndarray:
-        """For each pair of code words in a byte, the inner product of each query with them: ``(bytes, queries, 256)``."""
+        """For each pair of code words in a byte, the inner product of each query with them: ``(bytes, 256, queries)``."""
         subs = len(self.books)
-        single = np.einsum("qsd,swd->sqw", q.reshape(len(q), subs, -1), self.books)
-        return (single[0::2][:, :, :, None] + single[1::2][:, :, None, :]).reshape(subs // 2, len(q), 256).astype(np.float32)
+        parts = np.ascontiguousarray(q.reshape(len(q), subs, -1).transpose(1, 2, 0), dtype=np.float32)
+        single = np.matmul(self.books.astype(np.float32), parts)
+        return (single[0::2][:, :, None, :] + single[1::2][:, None, :, :]).reshape(subs // 2, 256, len(q))
 
 
 def fit_cells(x: np.ndarray, count: int, rounds: int = 8) -> np.ndarray:
@@ -190,24 +192,25 @@ def scan(index: Index, cell: int, q: np.ndarray, x: np.ndarray, codes: np.ndarra
 
     With ``least``, the rows whose scanned score comes within 0.2 of it instead.
     """
-    pair = (codes[:, 0::2].astype(np.int64) << 4) | codes[:, 1::2]
+    pair = ((codes[:, 0::2].astype(np.int64) << 4) | codes[:, 1::2]).T.copy()
     out: list[tuple[np.ndarray, np.ndarray]] = []
-    step = max(1, 4_000_000 // max(len(x), 1))
-    for start in range(0, len(q), step):
-        part = q[start : start + step]
+    for start in range(0, len(q), SCANNED):
+        part = q[start : start + SCANNED]
         if len(x) <= best and least is None:
-            rows = np.repeat(np.arange(start, start + len(part)), len(x))
-            out.append((rows, np.tile(np.arange(len(x)), len(part))))
+            out.append((np.repeat(np.arange(start, start + len(part)), len(x)), np.tile(np.arange(len(x)), len(part))))
             continue
-        tables = index.tables(part) * np.float32(index.scales[cell])
-        scores = np.repeat((part @ index.centres[cell]).astype(np.float32)[:, None], len(x), axis=1)
-        for j in range(len(tables)):
-            scores += tables[j][:, pair[:, j]]
+        tables = index.tables(part)
+        # Rows by queries: a look-up copies a whole line of the table.
+        scores = np.zeros((len(x), len(part)), dtype=np.float32)
+        for table, byte in zip(tables, pair):
+            scores += table.take(byte, axis=0)
+        scores *= np.float32(index.scales[cell])
+        scores += (part @ index.centres[cell]).astype(np.float32)
         if least is not None:
-            rows, columns = np.nonzero(scores >= least - 0.2)
+            columns, rows = np.nonzero(scores >= least - 0.2)
             out.append((rows + start, columns))
             continue
-        top = np.argpartition(-scores, best - 1, axis=1)[:, :best]
+        top = np.argpartition(-scores.T, best - 1, axis=1)[:, :best]
         out.append((np.repeat(np.arange(start, start + len(part)), best), top.ravel()))
     a = np.concatenate([o[0] for o in out]) if out else np.zeros(0, int)
     b = np.concatenate([o[1] for o in out]) if out else np.zeros(0, int)
