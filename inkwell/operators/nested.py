@@ -80,9 +80,9 @@ def _valid(payload: str | None) -> tuple[bool, object]:
 def shred(records: DataFrame, key: str, payload: str, root: Node) -> DataFrame:
     """``(key, column, ord, rep, def, val)`` of every record whose payload is valid JSON.
 
-    Null, cut-off and otherwise invalid payloads give no row.  Keys should be
-    unique; of rows with one key and one payload a single one counts.  Other
-    columns are dropped.  An empty table gives an empty result.
+    Null, cut-off and otherwise invalid payloads give no row.  Keys are unique
+    but for repeated rows, which give repeated entries (``numbered`` drops
+    them).  Other columns are dropped.  An empty table gives an empty result.
     """
     kind = records.schema[key].dataType.simpleString()
 
@@ -119,7 +119,8 @@ def numbered(levels: DataFrame, key: str, depth: int) -> DataFrame:
     A group of the window is one column of one record.
     """
     column = Window.partitionBy(key, "column").orderBy("ord")
-    out = levels
+    # One shuffle serves both: repeated records leave, and the windows find their rows together.
+    out = levels.repartition(F.col(key), F.col("column")).dropDuplicates([key, "column", "ord"])
     above: list[str] = []
     for level in range(1, depth + 1):
         running = F.sum(F.when((F.col("rep") <= level) & (F.col("def") >= level), 1).otherwise(0))

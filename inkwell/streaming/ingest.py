@@ -12,7 +12,7 @@ from inkwell.plans.render import to_markdown
 
 def ingest_new_files(spark: SparkSession, source: str, target: str, checkpoint: str, topic: str | None = None, suffix: str = "*.xml") -> StreamingQuery:
     """Parse, filter and render the files that came since the last run, and append them to ``target``; done files are in the checkpoint."""
-    raw = spark.readStream.format("binaryFile").option("pathGlobFilter", suffix).load(source)
+    raw = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("pathGlobFilter", suffix).load(source)
     rows = raw.select(F.lit("files").alias("archive"), F.regexp_extract("path", r"([^/]+)$", 1).alias("member"), "content")
     marked = with_status(rows, topic)
     done = to_markdown(marked).select("archive", "member", "status", F.col("doc.error").alias("error"), F.when(F.col("status") == "saved", F.col("markdown")).alias("markdown"))
