@@ -52,7 +52,7 @@ def _is_cut(text: str, at: int) -> bool:
     if after in " \t\n\r":
         return True
     # Marks and other rare characters are classed differently by different libraries.
-    if before == "'" or not (before.isascii() and after.isascii()):
+    if before == "'" or not (before.isascii() and after.isascii()) or not (before.isprintable() and after.isprintable()):
         return False
     return _kind(before) != _kind(after)
 
@@ -133,7 +133,7 @@ class Codec:
         while True:
             k, m = min(window, len(left)), min(window, len(right))
             raw = self._bytes(np.concatenate([left[len(left) - k :], right[:m]]))
-            again = self._window(raw)
+            again = self._window(raw, m == len(right))
             if again is not None and len(again):
                 agrees_left = k == len(left) or again[0] == left[len(left) - k]
                 agrees_right = m == len(right) or again[-1] == right[m - 1]
@@ -143,12 +143,17 @@ class Codec:
                 raise ValueError("a fused join did not settle")
             window *= 2
 
-    def _window(self, raw: bytes) -> np.ndarray | None:
-        """The ids of the bytes between two token ends, cut to pre-tokens; None if they aren't whole characters."""
+    def _window(self, raw: bytes, last: bool) -> np.ndarray | None:
+        """The ids of the bytes between two token ends, cut to pre-tokens.
+
+        None if they aren't whole characters, or end, but for the last of all,
+        in blanks, whose pre-tokens depend on what follows.
+        """
         try:
-            return self.plain(raw.decode())
+            text = raw.decode()
         except UnicodeDecodeError:
             return None
+        return None if text[-1:].isspace() and not last else self.plain(text)
 
 
 def _id_batch(batch: pa.RecordBatch, arrays: list[np.ndarray]) -> pa.RecordBatch:
