@@ -16,7 +16,7 @@ MOST_EXACT = 1_000_000
 
 
 def similar(vectors: DataFrame, key: str, vector: str, least: float) -> DataFrame:
-    """``(a, b, sim)`` with ``a < b``: all pairs of rows of a cosine of at least ``least``; equal vectors are linked to the first of them."""
+    """``(a, b, sim)`` with ``a < b``: all pairs of different vectors of a cosine of at least ``least``; copies are linked to the first of them, which is enough for ``keep_first``."""
     rows = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<float>").alias("v"))
     marked = rows.withColumn("mark", F.sha2(F.col("v").cast("string"), 256))
     first = marked.groupBy("mark").agg(F.min("id").alias("first"))

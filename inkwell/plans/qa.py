@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from inkwell.functions import text as T
 from inkwell.operators import filters as P
+from inkwell.operators.cliques import keep_first, similar
 from inkwell.operators.relational import accuracy, first_per_value, through_cache
-from inkwell.providers import Model, with_retries
-from inkwell.schemas import JUDGEMENT, RECORD
+from inkwell.plans.embed import embed
+from inkwell.providers import Embedder, Model, with_retries
+from inkwell.schemas import EMBED_CACHE, JUDGEMENT, RECORD
 
 PROMPTS = "prompts-1"
 EMPTY = {"qa": None, "rubric": None, "judge_with_context": None, "judge_without_context": None}
@@ -73,6 +75,17 @@ def split(records: DataFrame, key: str, response: str = "response") -> DataFrame
     return first_per_value(good, F.concat_ws("\u0001", "question", "answer"), key)
 
 
+def drop_near(pairs: DataFrame, key: str, embedder: Embedder, least: float = 0.90) -> DataFrame:
+    """Pairs without those whose question and answer both come close to an earlier kept pair's, by the embedder's cosine."""
+    empty = pairs.sparkSession.createDataFrame([], EMBED_CACHE)
+    links = None
+    for column in ("question", "answer"):
+        rows, _ = embed(pairs.select(key, column), column, empty, embedder)
+        found = similar(rows.filter(F.col("embed").isNotNull()), key, "embed", least).select("a", "b")
+        links = found if links is None else links.join(found, ["a", "b"], "left_semi")
+    return pairs.join(keep_first(pairs, links, key).filter("kept").select(key), key, "left_semi")
+
+
 def evaluate(pairs: DataFrame, key: str, cache: DataFrame, model: Model, judge: Model) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs with a model's judged answers, their accuracy, and the new cache entries ``(hash, correct)``."""
     rows = pairs.withColumn("hash", T.cache_key(F.lit(f"{model.name}\n{judge.name}\n{PROMPTS}\n"), F.col("question"), F.lit("\n"), F.col("answer")))

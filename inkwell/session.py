@@ -33,6 +33,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     configured = context.getConf().get("spark.checkpoint.dir")
     if configured is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="inkwell-")
         atexit.register(shutil.rmtree, configured, True)
     context.setCheckpointDir(configured)

@@ -117,3 +117,16 @@ def test_cache_lines_and_listing(spark, rows_of, tmp_path):
     assert [r.name for r in listing.list_archives(pages, "html", skip=1).collect()] == ["b.tar.gz"]
     both = spark.createDataFrame([("<x><article a='1'>p\n</article><ARTICLE>q</ARTICLE></x>",)], "t string")
     assert both.select(F.size(jats.split_articles(F.col("t")))).first()[0] == 2
+
+
+def test_api_and_sql(spark, rows_of):
+    from inkwell import api
+
+    df = frame(spark, XML, "<broken")
+    assert rows_of(api.to_metadata(df, "member").select("member", "pmc_id")) == [("d/m0.xml", "PMC1")]
+    assert api.to_reference(df, "member").count() == 2 and api.to_table(df).count() == 1 and api.to_text(df, "member").count() == 13
+    assert api.to_markdown(df, "member", include_metadata=False, include_references=False).filter("member like '%0.xml'").first().markdown.startswith("## Body")
+    api.register(spark)
+    spark.createDataFrame([(1, XML), (2, "<broken")], "n int, x string").createOrReplaceTempView("articles")
+    got = spark.sql("select n, article_type, size(refs) as r, error is null as ok, count_words('a b') as w from articles, lateral parse_article(x)")
+    assert rows_of(got) == [(1, "research-article", 2, True, 2), (2, None, 0, False, 2)]

@@ -79,3 +79,9 @@ def test_rest_stands_without_the_llm_part():
         for node in ast.walk(ast.parse(path.read_text())):
             names = [a.name for a in node.names] if isinstance(node, ast.Import) else [node.module or ""] if isinstance(node, ast.ImportFrom) else []
             assert not any("llm" in n.split(".") for n in names), path
+
+
+def test_near_pairs_leave(spark, rows_of):
+    rows = [(1, "what is the role of the liver", "it keeps sugar"), (2, "what is the role of the liver", "it keeps sugar"), (3, "what is the role of the liver", "quite another thing"), (4, "else", None)]
+    df = spark.createDataFrame(rows, "id bigint, question string, answer string")
+    assert rows_of(qa.drop_near(df, "id", HashEmbedder(64)).select("id")) == [(1,), (3,), (4,)]
