@@ -89,11 +89,14 @@ select lang, source, count(distinct doc_id) as docs, count(distinct (doc_id, par
        cast(sum(length(text)) as bigint) as characters from said group by lang, source""")
 def sentence_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, paragraphs, sentences and characters of each language and source."""
-    said = expand.sentence_rows(_documents(spark, sf_dir).withColumn("k", F.struct("doc_id", "lang", "source")), "k")
-    each = said.groupBy("k").agg(F.count_distinct("paragraph").alias("p"), F.count("*").alias("s"), F.sum(F.length("text")).alias("c"))
-    return each.groupBy(F.col("k.lang").alias("lang"), F.col("k.source").alias("source")).agg(
-        F.count("*").alias("docs"), F.sum("p").alias("paragraphs"), F.sum("s").alias("sentences"), F.sum("c").alias("characters")
-    )
+    by_line = F.filter(F.transform(T.lines(F.col("text")), lambda line: T.sentences(T.normalize_paragraph(line))), lambda said: F.size(said) > 0)
+    # Counted within each document: nothing is exploded, and only the totals are shuffled.
+    said = _documents(spark, sf_dir).select("lang", "source", by_line.alias("s"))
+    characters = F.aggregate(F.flatten("s"), F.lit(0), lambda total, x: total + F.length(x))
+    each = said.select("lang", "source", F.size("s").alias("p"), F.size(F.flatten("s")).alias("n"), characters.alias("c"))
+    # A filter here would move below the spread and do the whole work twice.
+    totals = each.groupBy("lang", "source").agg(F.count_if(F.col("p") > 0).alias("docs"), F.sum("p").alias("paragraphs"), F.sum("n").alias("sentences"), F.sum("c").alias("characters"))
+    return totals.filter("docs > 0")
 
 
 @query(f"select doc_id, md5({_sql_normalize('text')}) as digest, length({_sql_normalize('text')}) as characters from documents")
