@@ -75,4 +75,26 @@ def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p4_found, p4_clusters, p6_found, p7_found, p7_knn, p8_ids, p9_found, p10_found, p10_redacted)}
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
+
+# Brute force over whole tables, for the problems that SQL can state.
+_USABLE = """v as (select row_id, cast(embed as double[]) as e from dataset
+where embed is not null and len(embed) = 128 and len(list_filter(embed, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embed, lambda x: x <> 0)) > 0),
+s as (select a.row_id as a, b.row_id as b, list_cosine_similarity(a.e, b.e) as c from v a join v b on a.row_id <> b.row_id)"""
+
+_GRAMS = "unnest(list_transform(range(1, greatest(len(w) - 10, 1)), lambda i: array_to_string(w[i:i + 11], ' ')))"
+
+ORACLE_SQL: dict[str, str] = {
+    "p1_found": f"""with w as (select qa_id, list_distinct({_WORDS.format("concat_ws(' ', response.qa.question, response.qa.answer)")}) as w from qa_cache where response.qa is not null),
+p as (select a.qa_id as qa_id_a, b.qa_id as qa_id_b, len(a.w) + len(b.w) as n, len(list_intersect(a.w, b.w)) as i from w a join w b on a.qa_id < b.qa_id where len(a.w) > 0 and len(b.w) > 0)
+select qa_id_a, qa_id_b from p where i >= 0.8 * (n - i) - 1e-9""",
+    "p2_found": "select distinct row_id from dataset where length(text) > 6000",
+    "p4_found": f"""with {_USABLE},
+n as (select a, least(a, min(b)) as cluster_id, count(*) + 1 as size from s where c >= 0.75 group by a)
+select cluster_id, a as row_id from n qualify size >= 3 and count(*) over (partition by cluster_id) = size and min(size) over (partition by cluster_id) = size""",
+    "p7_found": f"""with {_USABLE}, k as (select a, b, c from s qualify row_number() over (partition by a order by c desc, b) <= 5)
+select distinct least(a, b) as row_id_a, greatest(a, b) as row_id_b from k where c >= 0.75""",
+    "p9_found": f"""with d as (select doc_id, {_WORDS.format('text')} as w from documents where text is not null), i as (select item_id, {_WORDS.format('question')} as w from qa_test union all select item_id, {_WORDS.format('answer')} from qa_test),
+dg as (select distinct doc_id, {_GRAMS} as g from d where len(w) >= 12), ig as (select distinct item_id, {_GRAMS} as g from i where len(w) >= 12)
+select distinct doc_id, item_id from dg join ig using (g)""",
+}
