@@ -13,10 +13,12 @@ row.  Members are ranked by their affinity to the rest of their cluster.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,6 +90,67 @@ def k_means(points: DataFrame, grid: float = GRID, rounds: int = 2) -> DataFrame
     return assigned.select("rep", "cluster").unionByName(alone)
 
 
+def around_mean(assigned: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """``(cluster, rep, others, affinity, safe)``: mean cosine to the other members from the sum of the cluster's vectors.
+
+    A cluster is ``safe`` if all its rows lie within half the allowed angle of
+    their mean direction: then every two reach ``least``.  Sums are added up in
+    each task before the shuffle, so that this is linear in the rows.
+    """
+
+    def add_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _sums((b.column(0).to_pylist(), np.ones(b.num_rows), vectors.unit(b.column(1).to_pylist())) for b in batches if b.num_rows)
+
+    def add_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _sums((b.column(0).to_pylist(), b.column(1).to_numpy(), np.stack([np.frombuffer(x) for x in b.column(2).to_pylist()])) for b in batches if b.num_rows)
+
+    schema = "cluster bigint, n double, total binary"
+    rows = assigned.join(classes.select("rep", "vec"), "rep")
+    partial = rows.select("cluster", "vec").mapInArrow(add_rows, schema)
+    totals = partial.repartition("cluster").mapInArrow(add_sums, schema)
+
+    @F.pandas_udf("double")
+    def along(vec: pd.Series, total: pd.Series) -> pd.Series:
+        return pd.Series(np.einsum("nd,nd->n", vectors.unit(list(vec)), np.stack([np.frombuffer(t) for t in total])))
+
+    @F.pandas_udf("double")
+    def length(total: pd.Series) -> pd.Series:
+        return pd.Series([float(np.linalg.norm(np.frombuffer(t))) for t in total])
+
+    sized = totals.select("cluster", "n", "total", length("total").alias("length"))
+    each = cut_lineage(rows.join(sized, "cluster").select("cluster", "rep", "n", "length", along("vec", "total").alias("along")))
+    half = ((1 + least) / 2) ** 0.5
+    safe = each.groupBy("cluster").agg((F.min(F.col("along") / F.col("length")) >= half).alias("safe"))
+    affinity = F.coalesce((F.col("along") - 1) / F.nullif(F.col("n") - 1, F.lit(0.0)), F.lit(1.0))
+    return each.join(safe, "cluster").select("cluster", "rep", (F.col("n") - 1).cast("bigint").alias("others"), affinity.alias("affinity"), "safe")
+
+
+def _sums(parts: Iterable[tuple[list[int], np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(cluster, n, total)`` of vectors added up by cluster, handed on when there are many."""
+    sums: dict[int, tuple[float, np.ndarray]] = {}
+
+    def hand_on() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int64()), pa.array([n for n, _ in sums.values()], pa.float64()), pa.array([t.tobytes() for _, t in sums.values()], pa.binary())],
+            names=["cluster", "n", "total"],
+        )
+        sums.clear()
+        return out
+
+    for clusters, counts, totals in parts:
+        keys, at = np.unique(np.array(clusters, dtype=np.int64), return_inverse=True)
+        added, number = np.zeros((len(keys), totals.shape[1])), np.zeros(len(keys))
+        np.add.at(added, at, totals)
+        np.add.at(number, at, counts)
+        for i, key in enumerate(keys.tolist()):
+            n, total = sums.get(key, (0.0, 0.0))
+            sums[key] = (n + number[i], total + added[i])
+        if len(sums) > 20_000:
+            yield hand_on()
+    if sums:
+        yield hand_on()
+
+
 def affinities(assigned: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """``(cluster, rep, partners, affinity)``: with how many others of its cluster a row reaches ``least``, and its mean cosine to them.
 
@@ -169,7 +232,11 @@ def similarity_clusters(
     assigned = cut_lineage(k_means(points))
     good = None
     for _ in range(rounds):
-        scored = cut_lineage(affinities(assigned, classes, least))
+        mean = cut_lineage(around_mean(assigned, classes, least))
+        # Only what its mean does not settle is checked pair by pair.
+        open_ = mean.filter(~F.col("safe")).select("rep", "cluster")
+        sure = mean.filter("safe").select("cluster", "rep", F.col("others").alias("partners"), "others", "affinity")
+        scored = cut_lineage(sure.unionByName(affinities(open_, classes, least)))
         failed = scored.filter(F.col("partners") < F.col("others")).select("cluster").distinct()
         passed = scored.join(failed, "cluster", "left_anti").select("cluster", "rep", "affinity", "others")
         good = passed if good is None else good.unionByName(passed)

@@ -190,7 +190,7 @@ def fit_index(classes: DataFrame, count: int, dims: int) -> Index:
 def scan(index: Index, cell: int, q: np.ndarray, x: np.ndarray, codes: np.ndarray, best: int, least: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs ``(query, row, exact cosine)`` of one cell's block: of each query the ``best`` by table scan, exactly scored.
 
-    With ``least``, the rows whose scanned score comes within 0.2 of it instead.
+    With ``least``, only those whose scanned score comes within 0.2 of it.
     """
     pair = ((codes[:, 0::2].astype(np.int64) << 4) | codes[:, 1::2]).T.copy()
     out: list[tuple[np.ndarray, np.ndarray]] = []
@@ -206,12 +206,13 @@ def scan(index: Index, cell: int, q: np.ndarray, x: np.ndarray, codes: np.ndarra
             scores += table.take(byte, axis=0)
         scores *= np.float32(index.scales[cell])
         scores += (part @ index.centres[cell]).astype(np.float32)
+        count = min(best, len(x))
+        top = np.argpartition(-scores.T, count - 1, axis=1)[:, :count]
+        rows, columns = np.repeat(np.arange(start, start + len(part)), count), top.ravel()
         if least is not None:
-            columns, rows = np.nonzero(scores >= least - 0.2)
-            out.append((rows + start, columns))
-            continue
-        top = np.argpartition(-scores.T, best - 1, axis=1)[:, :best]
-        out.append((np.repeat(np.arange(start, start + len(part)), best), top.ravel()))
+            near = np.take_along_axis(scores.T, top, 1).ravel() >= least - 0.2
+            rows, columns = rows[near], columns[near]
+        out.append((rows, columns))
     a = np.concatenate([o[0] for o in out]) if out else np.zeros(0, int)
     b = np.concatenate([o[1] for o in out]) if out else np.zeros(0, int)
     exact = np.empty(len(a))
@@ -225,7 +226,7 @@ def nearest(classes: DataFrame, dims: int, k: int, probes: int = 8, rerank: int
     """``(rep, other, cosine)``: the ``k`` nearest other classes of each class, ties by smaller ``other``.
 
     ``classes`` is ``(rep bigint, ids, vec binary)`` with unique ``rep``.  With
-    ``least``, only those of at least that cosine, found by score and not by rank.
+    ``least``, only those of at least that cosine.
     """
     spark = classes.sparkSession
     count = classes.count()
