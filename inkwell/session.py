@@ -20,6 +20,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     A table of many splits is returned unchanged; one of few row groups is
     hashed on ``keys`` so that heavy per-row work uses every core.
     """
+    # A stream has no partitions yet, and asking a plan that shuffles for its own would run it.
+    if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df

@@ -18,6 +18,7 @@ from pyspark.sql.types import StructField, StructType
 
 from inkwell.functions import text as T
 from inkwell.schemas import ARTICLE
+from inkwell.session import spread
 
 _LINK = "{http://www.w3.org/1999/xlink}href"
 _ENTITY = re.compile(r"&(?!(?:amp|lt|gt|quot|apos|#\d+|#x[0-9A-Fa-f]+);)(\w+);")
@@ -287,7 +288,7 @@ def parse_articles(df: DataFrame, content: str = "content", full_path: bool = Fa
             out["doc"] = [parse(c, full_path) for c in frame[content]]
             yield out
 
-    return df.mapInPandas(run, schema)
+    return spread(df).mapInPandas(run, schema)
 
 
 def split_articles(payload: Column) -> Column:
