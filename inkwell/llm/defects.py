@@ -63,8 +63,9 @@ _REFUSAL = re.compile(
     r"(?:i|we) (?:cannot|can't|can not|could not|won't|will not|must decline|have to decline|decline|refuse|would rather not|do not have|don't have|will stop|will pass|shall not)|"
     r"(?:no|nothing) (?:answer can be (?:offered|given)|i could say)|"
     r"not be appropriate for (?:me|us)|outside (?:the topics|what) (?:i|we)|beyond what (?:i|we)|do(?:es)? not (?:let|allow) (?:me|us)|"
-    r"(?:i|we) have to leave to|(?:my|our) (?:guidelines|policy|rules) (?:keep|prevent|stop|forbid)|ask someone qualified"
-    r")\b",
+    r"(?:i|we) have to leave to|(?:my|our) (?:guidelines|policy|rules) (?:keep|prevent|stop|forbid)|ask someone qualified|"
+    r"ich kann (?:\w+ ){0,4}nicht (?:beantworten|helfen)|je ne (?:peux|suis) pas|no puedo (?:responder|ayudar)|não posso (?:responder|ajudar)"
+    r")\b|无法回答|不能回答",
     re.IGNORECASE,
 )
 
