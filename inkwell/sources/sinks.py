@@ -33,6 +33,15 @@ def write_markdown_files(documents: DataFrame, folder: str) -> None:
     documents.select("archive", "member", "markdown").foreachPartition(write)
 
 
+def write_single(documents: DataFrame, path: str, column: str = "markdown") -> None:
+    """The text of the only row as one file."""
+    rows = documents.select(column).take(2)
+    if len(rows) != 1:
+        raise ValueError("a single file takes a single row")
+    with open(path, "w", encoding="utf-8") as out:
+        out.write(rows[0][0] or "")
+
+
 def write_splits(rows: DataFrame, path: str, split: str = "split") -> None:
     """A dataset of several splits, one folder each."""
     rows.withColumn(split, F.coalesce(split, F.lit("train"))).write.mode("overwrite").partitionBy(split).parquet(path)

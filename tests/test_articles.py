@@ -83,11 +83,15 @@ def test_archives_and_sinks(spark, rows_of, tmp_path):
     (tmp_path / "other.zip").write_bytes(b"")
     rows = archives.read_archives(spark, str(tmp_path))
     assert rows_of(rows.select("archive", "member")) == [("a.tar.gz", "2.xml"), ("b.tar.gz", "x/1.xml"), ("b.tar.gz", "y/1.xml"), ("c.tar.gz", "<ReadError>")]
+    named = archives.fetch_archives(spark, [str(tmp_path / "b.tar.gz"), str(tmp_path / "none.tar.gz")], "inkwell.sources.archives:open_local", suffix=".txt")
+    assert rows_of(named.select("archive", "member")) == [("b.tar.gz", "x/readme.txt"), ("none.tar.gz", "<FileNotFoundError>")]
     saved, counts = plan.ingest(rows)
     assert (None, "error", 2) in rows_of(counts) and (None, "saved", 2) in rows_of(counts)
     folder = tmp_path / "md"
     sinks.write_markdown_files(saved, str(folder))
     assert len(list(folder.glob("*.md"))) == 2  # members of one stem keep apart
+    sinks.write_single(saved.limit(1), str(tmp_path / "one.md"))
+    assert (tmp_path / "one.md").read_text().startswith("---")
     sinks.write_splits(spark.createDataFrame([(1, "test"), (2, None)], "n int, split string"), str(tmp_path / "s"))
     assert rows_of(spark.read.parquet(str(tmp_path / "s")).select("n", "split")) == [(1, "test"), (2, "train")]
 
@@ -104,6 +108,20 @@ def test_stream_takes_only_new_files(spark, rows_of, tmp_path):
     assert rows_of(spark.read.parquet(str(target)).select("member", "status")) == [("1.xml", "saved"), ("2.xml", "error")]
 
 
+def test_windows_on_a_stream(spark, rows_of, tmp_path):
+    from inkwell.streaming.ingest import windowed_counts
+
+    events = spark.createDataFrame([("2026-01-01 00:10:00", "a"), ("2026-01-01 00:50:00", "a"), ("2026-01-01 01:10:00", "b"), ("2026-01-01 09:00:00", "a"), ("2026-01-01 00:20:00", "late")], "ts string, kind string").select(F.to_timestamp("ts").alias("ts"), "kind")
+    batch = rows_of(windowed_counts(events, "ts", "kind").select(F.hour("start"), "kind", "n"))
+    assert batch == [(0, "a", 2), (0, "late", 1), (1, "b", 1), (9, "a", 1)]
+    events.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = windowed_counts(spark.readStream.schema(events.schema).parquet(str(tmp_path / "in")), "ts", "kind")
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", check).trigger(availableNow=True).start().awaitTermination(120)
+    # Windows that the watermark has passed are out, the last one is still open.
+    assert rows_of(spark.read.parquet(out).select(F.hour("start"), "kind", "n")) == [(0, "a", 2), (0, "late", 1), (1, "b", 1)]
+
+
 def test_cache_lines_and_listing(spark, rows_of, tmp_path):
     from inkwell.schemas import EMBED_CACHE
 
