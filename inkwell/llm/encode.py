@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.session import spread
+from inkwell.session import cut_lineage, spread
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -214,7 +214,8 @@ def encode_corpus(
                     names=["digest", "part", "fused", "text"],
                 )
 
-    large = rows.filter(giant).withColumn("digest", F.sha2("__text", 256))
+    # Read once for both of its uses; of most tables nothing is left here.
+    large = cut_lineage(rows.filter(giant).withColumn("digest", F.sha2("__text", 256)))
     parts = (
         large.select("digest", "__text")
         .dropDuplicates(["digest"])
