@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.session import cut_lineage, spread
@@ -189,8 +189,15 @@ def dialect_of_forms(forms: DataFrame, rounds: int = 3) -> DataFrame:
             yield pd.DataFrame(rows, columns=["form", "dialect", "weight", "shapes"])
 
     parsed = cut_lineage(forms.mapInPandas(parses, "form string, dialect int, weight double, shapes array<string>"))
-    bits = F.udf(lambda k: DIALECTS[k].bits, "double")
-    spelled = F.udf(_shape_cost, "double")
+    costs = F.array(*[F.lit(d.bits) for d in DIALECTS])
+
+    def bits(dialect: str) -> Column:
+        return F.get(costs, F.col(dialect))
+
+    @F.pandas_udf("double")
+    def spelled(shapes: pd.Series) -> pd.Series:
+        return shapes.map(_shape_cost)
+
     used = parsed
     best = None
     for _ in range(rounds):
