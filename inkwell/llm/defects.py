@@ -32,7 +32,7 @@ END_BITS = 18
 END_ORDERS = ((1, True), (3, True), (6, True), (7, False), (7, False))
 END_WEIGHT = 4.0
 END_LEAST = 0.3
-SHORT_WORDS = 4
+SHORT_WORDS, SHORT_CHARS = 4, 15
 CHUNK = 1 << 14
 
 # Names of languages in other codes.
@@ -44,6 +44,7 @@ NO_CONTENT = {"", "n/a", "na", "null", "none", "nil", "nan", "empty", "blank", "
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?。])\s+|\n+")
 _DIGIT = re.compile(r"\d")
+_SYMBOL = re.compile(r"[A-Za-z]*(?:\d|[a-z][A-Z])[A-Za-z0-9]*")
 _BOUNDARY = re.compile(r"[^\s](?=\n|[^\S\n]+[A-ZÀ-ÖØ-Þ\"“«¿¡\[(-])|[。！？](?=.)")
 _OPENING = {")": "(", "]": "[", "”": "“", "»": "«", "）": "（", "’": "‘"}
 _CODE = re.compile(r"[^\W_]*(?:\d|[^\W\d_A-Z][A-Z]|[A-Z]{2})[^\W_]*")
@@ -94,8 +95,8 @@ def _windows(codes: np.ndarray, order: int, bits: int, salt: int = 0) -> np.ndar
 
 
 def language_grams(text: str) -> np.ndarray:
-    """Buckets of a text's letter n-grams of one to three; digits and marks are left out."""
-    words = " ".join(w for w in _WORD.findall(text.lower()) if not _DIGIT.search(w))
+    """Buckets of a text's letter n-grams of one to three; marks and codes (words of a digit or an inner capital) are left out."""
+    words = " ".join(_WORD.findall(_SYMBOL.sub(" ", text).lower()))
     codes = _codes(f" {words} ")
     return np.concatenate([_windows(codes, order, LANGUAGE_BITS) for order in (1, 2, 3)])
 
@@ -259,6 +260,11 @@ def is_foreign(languages: Languages, question: str | None, answer: str) -> bool:
     return q != a and asked[q] - asked[a] > LANGUAGE_MARGIN and said[a] - said[q] > LANGUAGE_MARGIN
 
 
+def is_short(answer: str) -> bool:
+    """A name, a number with its unit: no sentence that could break off."""
+    return len(answer.strip()) <= SHORT_CHARS and len(_WORD.findall(answer)) <= SHORT_WORDS
+
+
 def breaks_off(endings: Endings, answer: str) -> bool:
     """Ends with an ellipsis, or where no sentence is likely to end."""
     if _ELLIPSIS.search(answer.rstrip()):
@@ -275,7 +281,7 @@ def defect_of(languages: Languages, endings: Endings, question: str | None, answ
         return "refusal"
     if is_foreign(languages, question, answer):
         return "other_language"
-    if len(_WORD.findall(answer)) > SHORT_WORDS and breaks_off(endings, answer):
+    if not is_short(answer) and breaks_off(endings, answer):
         return "truncated"
     return None
 

@@ -34,6 +34,8 @@ CASES = [
     ("What does the liver do in the patients?", EN[0][:-1] + " (n = 34)", None),
     ("What does the liver do in the patients?", "AbcD3, not Xyz.", None),
     ("What does the liver do in the patients?", "412 units", None),
+    ("What does the liver do in the patients?", "Because AbcD3 sharp", "truncated"),
+    ("What does the liver do in the patients?", "MvwC, not gwaC.", None),
     (None, DE[0] + " " + DE[1], None),
 ]
 
