@@ -50,6 +50,7 @@ _OPENING = {")": "(", "]": "[", "”": "“", "»": "«", "）": "（", "’": "
 _CODE = re.compile(r"[^\W_]*(?:\d|[^\W\d_A-Z][A-Z]|[A-Z]{2})[^\W_]*")
 _LETTER = re.compile(r"[^\W\d_]")
 _ELLIPSIS = re.compile(r"(?:\.\.\.|…)[\])]?$")
+_QUOTED = re.compile(r"«[^»]*»|“[^”]*”|„[^“”]*[“”]")
 _LEAD = re.compile(r"^\s*(?:question|q|frage|pregunta|pergunta|问题)\s*[:：.]\s*", re.IGNORECASE)
 
 # The wording of courtesy and of refusal.  A refusal speaks of who answers and that they will not.
@@ -255,7 +256,8 @@ def is_foreign(languages: Languages, question: str | None, answer: str) -> bool:
     """Question and answer are each far likelier in their own language than in the other's."""
     if not question or len(languages.names) < 2:
         return False
-    asked, said = languages.scores(question), languages.scores(answer)
+    own = _QUOTED.sub(" ", answer)  # a quotation may be in another language
+    asked, said = languages.scores(question), languages.scores(own if len(_WORD.findall(own)) >= SHORT_WORDS else answer)
     q, a = int(asked.argmax()), int(said.argmax())
     return q != a and asked[q] - asked[a] > LANGUAGE_MARGIN and said[a] - said[q] > LANGUAGE_MARGIN
 

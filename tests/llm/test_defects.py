@@ -26,6 +26,7 @@ CASES = [
     ("What does the liver do in the patients?", EN[0] + " I cannot answer this question.", None),
     ("Was macht die Leber bei den Patienten?", "Ich kann diese Frage leider nicht beantworten.", "refusal"),
     ("What does the liver do in the patients?", DE[0] + " " + DE[1], "other_language"),
+    ("What does the liver do in the patients?", f"{EN[0]} (« {FR[0]} {FR[2]} »).", None),
     ("Was macht die Leber bei den Patienten?", DE[0] + " " + DE[2], None),
     ("Was macht die Leber bei den Patienten?", FR[0] + " " + FR[2], "other_language"),
     ("What does the liver do in the patients?", EN[0] + " Only the older wom", "truncated"),
