@@ -8,7 +8,14 @@ rows.  The values are the spectral embedding, which k-means clusters: centres
 start from the cells of a fine grid, centres closer than the grid are one, and
 every row goes to its nearest.  An exact check follows: in a cluster every two
 rows must reach the threshold; one that fails is divided at its best-connected
-row.  Members are ranked by their affinity to the rest of their cluster.
+row.
+
+The neighbours are bounded and found by an index, so that up to here a large
+cluster may lie in parts.  Parts are joined exactly: one row of each part, and
+each row in none, is compared with those of all others; what hangs together is
+one cluster if every two of its rows reach the threshold, and else its parts
+are joined, the largest first, as far as every two rows do.  Members are ranked
+by their affinity to the rest of their cluster.
 """
 
 from __future__ import annotations
@@ -30,6 +37,7 @@ STEPS = 16
 STEPS_A_JOB = 8
 GRID = 1e-3
 BLOCK = 2_048
+EXEMPLARS = 8_192
 NEAREST = 64
 
 
@@ -212,6 +220,126 @@ def divide(failing: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     return sides.join(first, ["cluster", "stays"]).select("rep", F.col("first").alias("cluster"))
 
 
+def score(assigned: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """``(cluster, rep, partners, others, affinity)`` of all rows; a cluster holds if every row has all others as partners."""
+    mean = cut_lineage(around_mean(assigned, classes, least))
+    # Only what its mean does not settle is checked pair by pair.
+    open_ = mean.filter(~F.col("safe")).select("rep", "cluster")
+    sure = mean.filter("safe").select("cluster", "rep", F.col("others").alias("partners"), "others", "affinity")
+    return cut_lineage(sure.unionByName(affinities(open_, classes, least)))
+
+
+def exemplar_pairs(exemplars: DataFrame, least: float) -> DataFrame:
+    """``(a, b)`` with ``a < b``: all pairs of ``(rep, vec)`` whose cosine is at least ``least``; each pair of blocks is multiplied once."""
+    blocks = max(1, -(-exemplars.count() // EXEMPLARS))
+    rows = exemplars.select("rep", "vec", F.pmod(F.xxhash64(F.lit(9), F.col("rep")), F.lit(blocks)).cast("int").alias("block"))
+    left = rows.select(F.col("block").alias("own"), F.explode(F.sequence(F.col("block"), F.lit(blocks - 1))).alias("their"), "rep", "vec", F.lit(True).alias("asks"))
+    right = rows.select(F.explode(F.sequence(F.lit(0), F.col("block"))).alias("own"), F.col("block").alias("their"), "rep", "vec", F.lit(False).alias("asks"))
+
+    def multiply(frame: pd.DataFrame) -> pd.DataFrame:
+        a, b = frame[frame["asks"]], frame[~frame["asks"]]
+        found = [np.zeros((0, 2), dtype=np.int64)]
+        if len(a) and len(b):
+            x, y = vectors.unit(list(a["vec"])), vectors.unit(list(b["vec"]))
+            mine, others = a["rep"].to_numpy(), b["rep"].to_numpy()
+            inner = frame["own"].iloc[0] == frame["their"].iloc[0]
+            for start in range(0, len(x), 512):
+                at, to = np.nonzero(x[start : start + 512] @ y.T >= least)
+                pairs = np.stack([mine[start + at], others[to]], axis=1)
+                found.append(pairs[pairs[:, 0] < pairs[:, 1]] if inner else np.sort(pairs, axis=1))
+        out = np.concatenate(found)
+        return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
+
+    return left.unionByName(right).groupBy("own", "their").applyInPandas(multiply, "a bigint, b bigint")
+
+
+def hanging_together(links: DataFrame) -> DataFrame:
+    """``(part, whole)``: the connected component of every end of the links ``(a, b)``, named by its smallest part."""
+    both = cut_lineage(links.union(links.select("b", "a")).toDF("part", "other"))
+    labels = cut_lineage(both.select("part").distinct().withColumn("whole", F.col("part")))
+    while True:
+        offered = both.join(labels.toDF("other", "offer"), "other").groupBy("part").agg(F.min("offer").alias("offer"))
+        nearer = labels.join(offered, "part").select("part", "whole", F.least("whole", "offer").alias("new"))
+        after = cut_lineage(nearer.join(labels.toDF("new", "further"), "new").select("part", "whole", F.least("new", "further").alias("new")))
+        if after.filter(F.col("new") < F.col("whole")).isEmpty():
+            return labels
+        labels = after.select("part", F.col("new").alias("whole"))
+
+
+def matching_parts(links: DataFrame, parts: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Of the links ``(a, b)`` between parts ``(rep, part)`` those over which every two rows reach ``least``."""
+    numbered = cut_lineage(links.withColumn("cluster", F.monotonically_increasing_id()))
+    sides = numbered.select("cluster", F.explode(F.array("a", "b")).alias("part"))
+    scored = score(sides.join(parts, "part").select("rep", "cluster"), classes, least)
+    failed = scored.filter(F.col("partners") < F.col("others")).select("cluster").distinct()
+    return numbered.join(failed, "cluster", "left_anti").select("a", "b")
+
+
+def join_matching(links: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``(part, whole)``: parts ``(part, size)`` joined until no two wholes match; two match if all their parts do, as the links ``(a, b)`` say.
+
+    Every whole looks at the largest it matches.  Where one is larger than all
+    it matches, those that look at it join it together if they match one
+    another too; if not, only the one it looks at itself joins it.
+    """
+    links = cut_lineage(links.union(links.select("b", "a")).toDF("a", "b"))
+    placed = cut_lineage(sizes.select("part", F.col("part").alias("whole"), "size"))
+    while not links.isEmpty():
+        order = placed.groupBy("whole").agg(F.sum("size").alias("size")).select("whole", F.struct("size", F.xxhash64("whole").alias("mixed"), "whole").alias("rank"))
+        looks = links.join(order.toDF("b", "rank"), "b").groupBy("a").agg(F.max("rank").alias("best"))
+        looks = looks.join(order.toDF("a", "rank"), "a").select("a", F.col("best.whole").alias("at"), (F.col("rank") > F.col("best")).alias("leads"))
+        looks = cut_lineage(looks)
+        leaders = looks.filter("leads").select(F.col("a").alias("leader"), F.col("at").alias("chosen"))
+        fans = looks.filter(~F.col("leads")).join(leaders, F.col("at") == F.col("leader")).select("a", "leader", "chosen")
+        fans = cut_lineage(fans)
+        inner = links.join(fans.select("a", "leader"), "a").join(fans.select(F.col("a").alias("b"), F.col("leader").alias("same")), "b").filter(F.col("leader") == F.col("same"))
+        full = (
+            fans.groupBy("leader").agg(F.count("*").alias("n")).join(inner.groupBy("leader").agg(F.count("*").alias("pairs")), "leader", "left")
+            .select("leader", (F.coalesce("pairs", F.lit(0)) == F.col("n") * (F.col("n") - 1)).alias("full"))
+        )
+        moves = cut_lineage(fans.join(full, "leader").filter(F.col("full") | (F.col("a") == F.col("chosen"))).select("a", "leader"))
+
+        def moved(df: DataFrame, column: str) -> DataFrame:
+            rest = [c for c in df.columns if c != column]
+            return df.join(moves.withColumnRenamed("a", column), column, "left").select(*rest, F.coalesce("leader", column).alias(column))
+
+        joined = moved(placed.select("whole").distinct().withColumn("to", F.col("whole")), "to").groupBy("to").agg(F.count("*").alias("n"))
+        across = moved(moved(links, "a"), "b").filter(F.col("a") != F.col("b")).groupBy("a", "b").agg(F.count("*").alias("pairs"))
+        whole = across.join(joined.toDF("a", "n"), "a").join(joined.toDF("b", "m"), "b").filter(F.col("pairs") == F.col("n") * F.col("m"))
+        links = cut_lineage(whole.select("a", "b"))
+        placed = cut_lineage(moved(placed, "whole"))
+    return placed.select("part", "whole")
+
+
+def join_parts(good: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """``(cluster, rep, affinity)``: clusters of which every two rows reach ``least``, joined where they still do together; every row has one.
+
+    Rows of which every two reach ``least`` do so with the first rows of their
+    parts as well: to compare these loses no two parts that belong together.
+    """
+    first = good.groupBy("cluster").agg(F.min("rep").alias("part"))
+    within = good.join(first, "cluster").select("rep", "part", "affinity")
+    alone = classes.select("rep").join(within, "rep", "left_anti").select("rep", F.col("rep").alias("part"), F.lit(1.0).alias("affinity"))
+    parts = cut_lineage(within.unionByName(alone))
+    exemplars = classes.join(parts.filter(F.col("rep") == F.col("part")).select("rep"), "rep", "left_semi").select("rep", "vec")
+    links = cut_lineage(exemplar_pairs(exemplars, least))
+    same = parts.select(F.col("part").alias("cluster"), "rep", "affinity")
+    if links.isEmpty():
+        return same
+    wholes = hanging_together(links)
+    scored = score(parts.join(wholes, "part").select("rep", F.col("whole").alias("cluster")), classes, least)
+    failed = cut_lineage(scored.filter(F.col("partners") < F.col("others")).select("cluster").distinct())
+    out = scored.join(failed, "cluster", "left_anti").select("cluster", "rep", "affinity")
+    if not failed.isEmpty():
+        torn = parts.join(wholes, "part").join(failed.withColumnRenamed("cluster", "whole"), "whole", "left_semi").select("rep", "part")
+        left = links.join(wholes.toDF("a", "cluster"), "a").join(failed, "cluster", "left_semi").select("a", "b")
+        matching = matching_parts(left, torn, classes, least)
+        joined = join_matching(matching, torn.groupBy("part").agg(F.count("*").alias("size")))
+        out = out.unionByName(score(torn.join(joined, "part").select("rep", F.col("whole").alias("cluster")), classes, least).select("cluster", "rep", "affinity"))
+    rest = same.join(wholes.select(F.col("part").alias("cluster")), "cluster", "left_anti")
+    return cut_lineage(out.unionByName(rest))
+
+
 def similarity_clusters(
     rows: DataFrame, key: str = "row_id", vector: str = "embed", dims: int = 128, least: float = 0.75, smallest: int = 3, rounds: int = 200
 ) -> DataFrame:
@@ -232,11 +360,7 @@ def similarity_clusters(
     assigned = cut_lineage(k_means(points))
     good = None
     for _ in range(rounds):
-        mean = cut_lineage(around_mean(assigned, classes, least))
-        # Only what its mean does not settle is checked pair by pair.
-        open_ = mean.filter(~F.col("safe")).select("rep", "cluster")
-        sure = mean.filter("safe").select("cluster", "rep", F.col("others").alias("partners"), "others", "affinity")
-        scored = cut_lineage(sure.unionByName(affinities(open_, classes, least)))
+        scored = score(assigned, classes, least)
         failed = scored.filter(F.col("partners") < F.col("others")).select("cluster").distinct()
         passed = scored.join(failed, "cluster", "left_anti").select("cluster", "rep", "affinity", "others")
         good = passed if good is None else good.unionByName(passed)
@@ -246,8 +370,7 @@ def similarity_clusters(
         assigned = divide(failing, classes, least)
     else:
         raise RuntimeError("clusters did not settle; raise the number of rounds")
-    lone = members.join(good.select("rep"), "rep", "left_anti").select("rep", key, F.col("rep").alias("cluster"), F.lit(1.0).alias("affinity"))
-    placed = members.join(good.select("rep", "cluster", "affinity"), "rep").select("rep", key, "cluster", "affinity").unionByName(lone)
+    placed = members.join(join_parts(good, classes, least), "rep").select("rep", key, "cluster", "affinity")
     sizes = placed.groupBy("cluster").agg(F.count("*").alias("size"), F.min(key).alias("cluster_id")).filter(F.col("size") >= smallest)
     ranked = placed.join(sizes, "cluster")
     rank = Window.partitionBy("cluster_id").orderBy(F.desc("affinity"), key)

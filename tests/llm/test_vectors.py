@@ -124,3 +124,31 @@ def test_chain_is_divided(spark):
     assert len(rows) == len(set(rows))
     for group in members.values():
         assert len(group) >= 3 and all(sims[a, b] >= 0.75 for a in group for b in group if a != b)
+
+
+def test_large_clusters_of_tight_parts(spark):
+    """A cluster of more rows than the graph has neighbours is one, however its rows are bunched; bunches that are no cluster together stay apart."""
+    rng = np.random.default_rng(4)
+
+    def bunch(centre, n):
+        return centre + 0.01 * rng.normal(size=(n, DIMS))
+
+    def group(parts, n):
+        base = 2 * rng.normal(size=DIMS)
+        return np.concatenate([bunch(base + 0.6 * rng.normal(size=DIMS), n) for _ in range(parts)])
+
+    near = np.zeros((3, DIMS))
+    near[:, 0], near[:, 1] = np.cos(np.deg2rad([0, 30, 60])), np.sin(np.deg2rad([0, 30, 60]))
+    chain = np.concatenate([bunch(20 * c, n) for c, n in zip(near, (90, 80, 70))])
+    x = np.concatenate([group(5, 80), group(60, 5), chain, rng.normal(size=(40, DIMS))]).astype(np.float32)
+    owner = np.repeat([0, 1, 2, 3, 4], [400, 300, 170, 70, 40])
+    sims = brute(x) + 10 * np.eye(len(x))
+    for g in range(3):
+        assert sims[np.ix_(owner == g, owner == g)].min() >= 0.75
+    assert sims[np.ix_(owner < 2, owner > 1)].max() < 0.75 and sims[np.ix_(owner == 0, owner == 1)].max() < 0.75
+    got = clusters.similarity_clusters(table(spark, x), dims=DIMS).collect()
+    members: dict[int, set[int]] = {}
+    for r in got:
+        members.setdefault(r.cluster_id, set()).add(r.row_id)
+    assert sorted(map(len, members.values())) == [70, 170, 300, 400]
+    assert {frozenset(m) for m in members.values()} == {frozenset(np.flatnonzero(owner == g).tolist()) for g in range(4)}
