@@ -53,7 +53,7 @@ _DOT = r"(?:\.|\s?[\[({<]\s?(?:dot|DOT)\s?[\])}>]\s?|\s(?:dot|DOT)\s)"
 _EMAIL = re.compile(rf"(?<![\w.+%-])\w[\w.+%'-]*{_AT}\w[\w-]*(?:{_DOT}\w[\w-]*)+")
 _NUMBER = re.compile(
     r"(?<![\w.‑+/@-])(?!10\.\d{4})(?:"
-    r"(?:\+\d{1,3}[  -]?(?:\(\d{1,4}\)[  ]?)?|\(\d{2,5}\)[  -]?)?\d(?:\.(?=\d)|[\d‑/  -]){4,20}(?<=\d)[A-Z]?"
+    r"(?:\+\d{1,3}[ \xa0-]?(?:\(\d{1,4}\)[ \xa0]?)?|\(\d{2,5}\)[ \xa0-]?)?\d(?:\.(?=\d)|[\d‑/ \xa0-]){4,20}(?<=\d)[A-Z]?"
     r"|[A-Z]{1,2}-?\d[\d-]{4,11}(?<=\d)[A-Z]?|[A-Z]\d{2}[A-Z]\d{2}[A-Z]\d{2})(?![\w@])"
 )
 _DIGITS = re.compile(r"\d")
@@ -73,7 +73,7 @@ _ADDRESS = re.compile(
     rf"|(?:P\.\s?O\.\s?|PO\s|Post Office\s)(?:Box|BOX)\s\d{{1,6}}|(?:Postfach|Apartado(?:\sde\sCorreos)?|Boîte [Pp]ostale|B\.?P\.?|Caixa Postal)\s\d{{1,6}}"
     rf")"
 )
-_NEXT_WORD = re.compile(r"^[  ]([^\W_]+)")
+_NEXT_WORD = re.compile(r"^[ \xa0]([^\W_]+)")
 _PART = "|".join(PARTICLES)
 _NAME_TAIL = re.compile(
     rf"(?P<middle>[\s ]+[^\W\d_]\.)?(?P<particle>[\s ]+(?:{_PART}))?[\s ]+(?P<surname>(?:[^\W\d_]['’])?[^\W\d_]{{2,}}(?:-[^\W\d_]{{2,}})*)(?![\w@])", re.IGNORECASE
@@ -332,7 +332,7 @@ def _fill(form: str, rng: random.Random) -> str:
     return "".join(rng.choice("0123456789") if c == "9" else rng.choice("ABCDEFGHJKLMNPRSTVWXYZ") if c == "A" else c for c in form)
 
 
-PHONES = ("+1 (999) 999-9999", "+1 999 999 9999", "+1-999-999-9999", "19999999999", "(999) 999 9999", "(999) 999-9999", "999-999-9999", "999.999.9999", "999‑999‑9999", "+44 20 9999 9999", "+44(0)20-9999-9999", "020 9999 9999", "01 99 99 99 99", "+33 1 99 99 99 99", "030/99999-999", "+49 30 99999 999", "0049 30 99999999")
+PHONES = ("+1 (999) 999-9999", "+1 999 999 9999", "+1\xa0999\xa0999\xa09999", "+1-999-999-9999", "19999999999", "(999) 999 9999", "(999) 999-9999", "999-999-9999", "999.999.9999", "999‑999‑9999", "+44 20 9999 9999", "+44(0)20-9999-9999", "020 9999 9999", "01 99 99 99 99", "+33 1 99 99 99 99", "030/99999-999", "+49 30 99999 999", "0049 30 99999999")
 IDS = ("999-99-9999", "999 99 9999", "999-99-999", "99999999", "999999-9999", "999 999 9999", "A-999-9999", "A99999999", "AA9999999", "99999999A", "A99A99A99", "A999999999")
 
 

@@ -66,3 +66,12 @@ def test_tables(spark, rows_of):
     assert privacy.find_personal(df.filter("false"), GIVEN).count() == 0
     names = spark.createDataFrame([(["Anna Bell", "Anna Ray", None, "Cher"],), (None,), (["Bo Lin"],)], "authors array<string>")
     assert privacy.given_names(names, "authors") == frozenset({"anna"})
+
+
+@pytest.mark.parametrize("phone", ["+1\xa0750\xa0555\xa00182", "+44\xa0(20)\xa05550\xa00182", "(272)\xa0555\xa00128"])
+def test_no_break_spaces(phone):
+    """A no-break space separates like a blank, within a number and before the word after it."""
+    text = f"Please ring me on {phone} after the visit, thanks, Anna Korvik"
+    assert found(text) == [("phone", phone), ("name", "Anna Korvik")]
+    assert privacy.redact(text, privacy.personal(text, privacy.fit_weights(), GIVEN)) == "Please ring me on [PHONE] after the visit, thanks, [NAME]"
+    assert "right-eponym" in privacy._context("Anna Korvik\xa0index", 0, 11)
