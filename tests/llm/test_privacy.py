@@ -1,32 +1,36 @@
+import os
+import re
+import time
+
 import pytest
 
 from inkwell.llm import privacy
 
-GIVEN = frozenset({"anna", "robert", "priya", "clara", "chen", "igor", "vera"})
+GIVEN = privacy.Names.of({"anna", "robert", "priya", "clara", "chen", "igor", "vera"})
+DOCUMENTS = "/root/testdata/sf0.1/documents.parquet"
 
 
-def found(text):
-    return [(c.kind, c.text) for c in privacy.personal(text, privacy.fit_weights(), GIVEN)]
+def found(text, model=None):
+    return [(c.kind, c.text) for c in privacy.personal(text, model or privacy.fit_model(), GIVEN)]
 
 
 @pytest.mark.parametrize(
     "text, want",
     [
-        ("Please ring me on +1 (272) 555-0128 after the visit, thanks, Anna Korvik", [("phone", "+1 (272) 555-0128"), ("name", "Anna Korvik")]),
-        ("Write to anna.korvik [at] lab [dot] example [dot] org.", [("email", "anna.korvik [at] lab [dot] example [dot] org")]),
+        ("You may phone +1 (272) 555-0128 tonight. Yours, Anna Korvik", [("phone", "+1 (272) 555-0128"), ("name", "Anna Korvik")]),
+        ("Mail to anna.korvik [at] lab [dot] example [dot] org.", [("email", "anna.korvik [at] lab [dot] example [dot] org")]),
         ("[r.ito@post.example.org](mailto:r.ito@post.example.org).", [("email", "r.ito@post.example.org")] * 2),
-        ("Contact: Dr. KORVIK, Priya, Flat 7, 363 Old Ferry Road, 40213 Bellmere, tel. 030/23125-167.", [("name", "KORVIK, Priya"), ("address", "Flat 7, 363 Old Ferry Road"), ("phone", "030/23125-167")]),
-        ("She lives at 8703 N. Old Ferry Ave.. It is far.", [("address", "8703 N. Old Ferry Ave.")]),
-        ("It went to Calle del Sauce Alto, 177, 2º B, and to P.O. Box 7396.", [("address", "Calle del Sauce Alto, 177, 2º B"), ("address", "P.O. Box 7396")]),
-        ("at 307 bis, rue des Tilleuls Gris, and Sonnwendstr. 302b", [("address", "307 bis, rue des Tilleuls Gris"), ("address", "Sonnwendstr. 302b")]),
-        ("Case 3 (946-60-1278) was lost; MRN: 325-02-382 was on the label.", [("id_number", "946-60-1278"), ("id_number", "325-02-382")]),
-        ("see passport no. JX0984254 and NHS number 999 572 1498.", [("id_number", "JX0984254"), ("id_number", "999 572 1498")]),
-        ("Signed, robert korvik", [("name", "robert korvik")]),
-        ("We thank Vera J. de Moor and Igor O'Hale-Ray.", [("name", "Vera J. de Moor"), ("name", "Igor O'Hale-Ray")]),
-        ("Deviations were logged by Chen Orr, Anna Poe and Igor Lin.", [("name", "Chen Orr"), ("name", "Anna Poe"), ("name", "Igor Lin")]),
-        ("El gen redujo de forma clara la captación.", []),
-        ("Trial NCT9124426 enrolled 289 adults under contract no. 3200195.", []),
-        ("Cells came from batch 00482913, catalogue no. K-204-8831, ISSN 2045-5550; DOI: 10.5555/99628", []),
+        ("Dr. KORVIK, Priya, Flat 7, 363 Old Ferry Road, tel. 030/23125-167", [("name", "KORVIK, Priya"), ("address", "Flat 7, 363 Old Ferry Road"), ("phone", "030/23125-167")]),
+        ("Her house is 8703 N. Old Ferry Ave.. It is far.", [("address", "8703 N. Old Ferry Ave.")]),
+        ("We rent Calle del Sauce Alto, 177, 2º B, and P.O. Box 7396.", [("address", "Calle del Sauce Alto, 177, 2º B"), ("address", "P.O. Box 7396")]),
+        ("between 307 bis, rue des Tilleuls Gris, and Sonnwendstr. 302b", [("address", "307 bis, rue des Tilleuls Gris"), ("address", "Sonnwendstr. 302b")]),
+        ("MRN: 325-02-382 is on the wristband.", [("id_number", "325-02-382")]),
+        ("her passport no. JX0984254 and NHS number 999 572 1498", [("id_number", "JX0984254"), ("id_number", "999 572 1498")]),
+        ("Sincerely, robert korvik", [("name", "robert korvik")]),
+        ("Cake by Vera J. de Moor and Igor O'Hale-Ray.", [("name", "Vera J. de Moor"), ("name", "Igor O'Hale-Ray")]),
+        ("Dinner for Chen Orr, Anna Poe and Igor Lin.", [("name", "Chen Orr"), ("name", "Anna Poe"), ("name", "Igor Lin")]),
+        ("Contesta de manera clara la pregunta.", []),
+        ("Purchase under contract no. 3200195, lot 00482913, part K-204-8831, ISSN 2045-5550, DOI: 10.5555/99628", []),
         ("The Korvik index of Bell AB and Ray CD (2019-2021) rose [12, 15].", []),
         ("", []),
     ],
@@ -35,28 +39,63 @@ def test_kinds(text, want):
     assert found(text) == want
 
 
-def test_repeats_lend_each_other_weight():
-    """A mention that says too little alone is settled by one that says more."""
-    nodes = privacy.candidates("x 482-913-55 y", GIVEN)
-    alone = "In all, Korvik, Anna was there."
-    assert privacy.believe([-1.0, 3.0], [(0, 1, 2.0, False)])[0] > -1.0
-    assert privacy.believe([1.0, 3.0], [(0, 1, 12.0, True)])[0] < 0
-    assert found(alone) and isinstance(nodes, list)
+def test_mentions_settle_one_another():
+    """A mention that says too little alone is settled over a skip edge by one that says more; without those edges it is not."""
+    model = privacy.fit_model()
+    told = "Dr. Zebedee Korvik is in.\nTea at noon.\nLater Zebedee Korvik left."
+    assert found(told) == [("name", "Zebedee Korvik")] * 2
+    bare = "Tea at noon.\nIt says 48291355.\n"
+    assert ("id_number", "48291355") in found("passport no. 48291355\n" + bare)
+    assert found("Lot 48291355 came late.\n" + bare) == []
+    weak = model.without_skips()
+    beliefs = []
+    for m in (model, weak):
+        field = privacy.build([(told, privacy.candidates(told, GIVEN))], m.index)
+        belief = privacy.believe(field, m)[0]
+        beliefs.append(belief[field.spans[0][1][1], 1 + 2 * privacy.KINDS.index("name")])
+    assert beliefs[0] > beliefs[1]
+
+
+def _scores(model, texts):
+    given = privacy.Names.of(privacy._GIVEN)
+    hits = misses = extra = 0
+    for (_, gold), got in zip(texts, privacy.personal_of([t for t, _ in texts], model, given)):
+        got = {(c.start, c.end, c.kind) for c in got}
+        hits, misses, extra = hits + len(got & gold), misses + len(gold - got), extra + len(got - gold)
+    return hits / (hits + misses), hits / (hits + extra)
 
 
-def test_long_text_of_repeats():
-    text = "\n".join(f"Anna Korvik called {i}." for i in range(3_000))
-    assert len(found(text)) == 3_000
+def test_held_out_texts():
+    """Right on texts of the generator that the weights were not learned on, and less so without skip edges."""
+    texts, model = privacy.letters(900, seed=99), privacy.fit_model()
+    recall, precision = _scores(model, texts)
+    without, _ = _scores(model.without_skips(), texts)
+    assert recall >= 0.94 and precision >= 0.95 and without < recall
 
 
-def test_held_out_lines():
-    """The field is right on lines of the generator that it was not fitted on."""
-    weights, given = privacy.fit_weights(), frozenset(n.lower() for n in privacy._SAMPLE_GIVEN)
-    hits = misses = extra = 0
-    for text, gold in privacy.written(600, seed=99):
-        got = {(c.start, c.end, c.kind) for c in privacy.personal(text, weights, given)}
-        hits, misses, extra = hits + len(got & gold), misses + len(gold - got), extra + len(got - gold)
-    assert hits / (hits + misses) >= 0.95 and hits / (hits + extra) >= 0.95
+@pytest.mark.skipif(not os.path.exists(DOCUMENTS), reason="no test tables here")
+def test_generator_is_independent_of_the_corpus():
+    """No four words in a row of the generator stand in a row in any document."""
+    import pyarrow.parquet as pq
+
+    word = re.compile(r"[^\W\d_]+")
+    stretches = set()
+    for sentence in (*privacy.SENTENCES, *privacy.BARE):
+        for part in re.split(r"\{\w+\}", sentence):
+            words = word.findall(part.lower())
+            stretches |= set(zip(words, words[1:], words[2:], words[3:]))
+    assert stretches
+    for text in pq.read_table(DOCUMENTS, columns=["text"])["text"].to_pylist():
+        words = word.findall((text or "").lower())
+        assert stretches.isdisjoint(zip(words, words[1:], words[2:], words[3:]))
+
+
+def test_long_texts():
+    text = "\n".join(f"Anna Korvik called {i}." for i in range(3_000))
+    assert len(found(text)) == 3_000
+    began = time.time()
+    assert len(found(", ".join(["Anna Korvik", "Igor Lin"] * 4_000))) == 8_000
+    assert time.time() - began < 30
 
 
 def test_tables(spark, rows_of):
@@ -64,14 +103,16 @@ def test_tables(spark, rows_of):
     assert rows_of(privacy.find_personal(df, GIVEN)) == [(1, 5, 25, "email", "anna@lab.example.org")] * 2
     assert rows_of(privacy.redact_texts(df, GIVEN)) == [(1, "Mail [EMAIL] now.")] * 2 + [(2, None), (3, ""), (4, "nothing")]
     assert privacy.find_personal(df.filter("false"), GIVEN).count() == 0
-    names = spark.createDataFrame([(["Anna Bell", "Anna Ray", None, "Cher"],), (None,), (["Bo Lin"],)], "authors array<string>")
-    assert privacy.given_names(names, "authors") == frozenset({"anna"})
+    authors = spark.createDataFrame([(["Anna Bell", "Anna Ray", None, "Cher"],), (None,), (["Bo Lin"],)], "authors array<string>")
+    names = privacy.given_names(authors, "authors")
+    assert "anna" in names and "bo" in names and "cher" not in names and "lin" not in names
+    assert "anna" not in privacy.given_names(authors.filter("false"), "authors")
 
 
 @pytest.mark.parametrize("phone", ["+1\xa0750\xa0555\xa00182", "+44\xa0(20)\xa05550\xa00182", "(272)\xa0555\xa00128"])
 def test_no_break_spaces(phone):
     """A no-break space separates like a blank, within a number and before the word after it."""
-    text = f"Please ring me on {phone} after the visit, thanks, Anna Korvik"
+    text = f"You may phone {phone} tonight. Yours, Anna Korvik"
     assert found(text) == [("phone", phone), ("name", "Anna Korvik")]
-    assert privacy.redact(text, privacy.personal(text, privacy.fit_weights(), GIVEN)) == "Please ring me on [PHONE] after the visit, thanks, [NAME]"
+    assert privacy.redact(text, privacy.personal(text, privacy.fit_model(), GIVEN)) == "You may phone [PHONE] tonight. Yours, [NAME]"
     assert "right-eponym" in privacy._context("Anna Korvik\xa0index", 0, 11)
