@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from inkwell.functions import text as T
 
-# Words of a gene's form that are none.
+# The forms of a citation and of a gene, and words of a gene's form that are none.
 NOT_GENES = ("TraDIS", "taqDNA", "log2", "log10", "ecoRI", "bamHI", "chr1", "chr2")
 
 CITATION = r"(?:\(|\[)[0-9, -]+(?:\]|\))"
 GENE = r"\b[A-Za-z][a-z]{2}[A-Z0-9]+\b"
 
+#: A range of more numbers than this is taken for none: it is no list of references or loci.
+WIDEST = 10_000
+
 
 def _front(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names, *[c for c in df.columns if c not in names])
@@ -39,11 +42,11 @@ def separate_text(df: DataFrame, pattern: str | list[str], column: str = "text")
     return _front(found.withColumn("match", F.explode(matches(F.col(column), regex))), "match")
 
 
-def separate_refs(df: DataFrame, column: str = "text", most: int | None = None) -> DataFrame:
+def separate_refs(df: DataFrame, column: str = "text", most: int | None = None, widest: int = WIDEST) -> DataFrame:
     """One row for each cited number, ``id`` and ``match`` first; ranges are spelled out.
 
-    What is no number, a falling range and a range of three give none; with
-    ``most``, numbers above it (years) neither.
+    What is no number, a falling range, a range of three and one of more than
+    ``widest`` numbers give none; with ``most``, numbers above it (years) neither.
     """
     found = separate_text(df, CITATION, column)
     items = F.split(F.regexp_replace("match", r"[\[\]() ]", ""), ",")
@@ -52,7 +55,8 @@ def separate_refs(df: DataFrame, column: str = "text", most: int | None = None)
         ends = F.split(item, "-")
         first, last = F.get(ends, F.lit(0)).try_cast("int"), F.get(ends, F.lit(1)).try_cast("int")
         single = F.when(first.isNotNull() & (F.size(ends) == 1), F.array(first))
-        span = F.when((F.size(ends) == 2) & (first <= last), F.sequence(first, F.greatest(first, last)))
+        fits = (F.size(ends) == 2) & (first <= last) & (last.cast("bigint") - first < widest)
+        span = F.when(fits, F.sequence(first, F.least(F.greatest(first, last), (first.cast("bigint") + widest).try_cast("int"))))
         return F.coalesce(single, span, F.array().cast("array<int>"))
 
     out = found.withColumn("id", F.explode(F.flatten(F.transform(items, numbers))))
@@ -80,12 +84,12 @@ def separate_genes(df: DataFrame, pattern: str | None = GENE, genes: list[str] |
     return _front(found.withColumn("gene", F.explode(F.when(is_operon, each).otherwise(plain))), "gene", "match")
 
 
-def separate_tags(df: DataFrame, pattern: str, column: str = "text", strict: bool = True) -> DataFrame:
+def separate_tags(df: DataFrame, pattern: str, column: str = "text", strict: bool = True, widest: int = WIDEST) -> DataFrame:
     """One row for each locus tag, ``id`` and ``match`` first; ranges such as ``AB0970-74`` are spelled out.
 
     A prefix alone stands for tags of it.  The end of a range may repeat the
     prefix or leave out leading digits.  A match of several dashes is an error
-    or, if not ``strict``, left out.
+    or, if not ``strict``, left out; a range of more than ``widest`` tags gives none.
     """
     regex = pattern if any(c.isdigit() for c in pattern) else f"{pattern}[0-9{pattern}-]+"
     found = separate_text(df, regex, column)
@@ -104,7 +108,7 @@ def separate_tags(df: DataFrame, pattern: str, column: str = "text", strict: boo
     # The end takes from the start the leading digits that it leaves out.
     full = F.when(F.length(last) < F.length(first), F.concat(F.substring(first, F.lit(1), F.length(first) - F.length(last)), last)).otherwise(last)
     low, high = first.try_cast("bigint"), full.try_cast("bigint")
-    span = F.when(low <= high, F.sequence(low, F.greatest(low, high)))
+    span = F.when((low <= high) & (high - low < widest), F.sequence(low, F.least(F.greatest(low, high), low + widest)))
     tags = F.transform(F.coalesce(span, F.array().cast("array<bigint>")), lambda n: F.concat(prefix, T.zero_pad(n, F.length(first))))
     out = found.withColumn("id", F.explode(F.when(F.size(ends) == 1, F.array(F.col("__match"))).otherwise(tags)))
     return _front(out.drop("__match", "__dashes"), "id", "match")

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.session import cut_lineage
+
 
 def last_per_key(rows: DataFrame, key: str, *order: str) -> DataFrame:
     """Of rows with one key the last by ``order``; a plain aggregation, so that a hot key is reduced before the shuffle."""
@@ -27,10 +29,11 @@ def through_cache(rows: DataFrame, key: str, cache: DataFrame, value: str, compu
     """Rows with their cached value, computed once for each key that the cache lacks; and those new entries.
 
     ``cache`` is ``(key, value)`` with unique keys; ``compute`` turns distinct
-    missing rows into ``(key, value)``.
+    missing rows into ``(key, value)``.  It runs here and once: both results
+    read what it gave from a checkpoint, however often they are used.
     """
     missing = rows.dropDuplicates([key]).join(cache.select(key), key, "left_anti")
-    new = compute(missing).select(key, value)
+    new = cut_lineage(compute(missing).select(key, value))
     known = cache.select(key, value).unionByName(new)
     return rows.join(known, key, "left"), new
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from inkwell.functions.text import is_blank
 
@@ -72,29 +75,35 @@ def collapse_grid(df: DataFrame, table: str, header: str, rows: str, na_string:
     return out.filter(F.col("text") != "")
 
 
-def path_rows(df: DataFrame, group: str, order: str, name: str, level: str, most: int = 6) -> DataFrame:
-    """Add ``path``: the names of the enclosing levels, each reset by a higher one; levels count from the group's least.
+def path_rows(df: DataFrame, group: str, order: str, name: str, level: str) -> DataFrame:
+    """Add ``path``: the names of the enclosing levels, each reset by a higher one, at any depth.
 
-    Levels deeper than ``most`` are an error.
+    A name ``NA`` takes its level but no place in the path.  One fold over the
+    ordered rows of a partition, which holds the open levels only, whatever a
+    group's size.
     """
-    ordered = Window.partitionBy(group).orderBy(order)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    based = df.withColumn("__level", F.col(level) - F.min(level).over(Window.partitionBy(group)) + 1)
-    deep = F.concat(F.lit("a level deeper than "), F.lit(str(most)))
-    based = based.withColumn("__level", F.when(F.col("__level") > most, F.raise_error(deep).cast("int")).otherwise(F.col("__level")))
-    based = based.withColumn("__at", F.row_number().over(ordered))
-    parts = []
-    for k in range(1, most + 1):
-        entry = F.last(F.when(F.col("__level") == k, F.struct(F.col("__at").alias("at"), F.col(name).alias("name"))), ignorenulls=True).over(so_far)
-        above = F.max(F.when(F.col("__level") < k, F.col("__at"))).over(so_far)
-        based = based.withColumn(f"__e{k}", entry).withColumn(f"__a{k}", above)
-        keep = (F.col(f"__e{k}.at") > F.coalesce(f"__a{k}", F.lit(0))) & (F.col("__level") >= k) & (F.col(f"__e{k}.name") != "NA")
-        parts.append(F.when(keep, F.col(f"__e{k}.name")))
-    helpers = ["__level", "__at", *[f"__{x}{k}" for k in range(1, most + 1) for x in "ea"]]
-    return based.withColumn("path", F.concat_ws("; ", *parts)).drop(*helpers)
-
-
-def path_string(df: DataFrame, group: str, order: str, name: str, level: str, most: int = 6) -> DataFrame:
+    sorted_ = df.repartition(F.col(group)).sortWithinPartitions(group, order)
+    schema = StructType([*df.schema.fields, StructField("path", StringType())])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, stack = object(), []
+        for batch in batches:
+            names, levels, groups = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (name, level, group))
+            paths = []
+            for g, n, depth in zip(groups, names, levels):
+                if g != current:
+                    current, stack = g, []
+                if depth is not None:  # a row of no level stands under the one before
+                    while stack and stack[-1][0] >= depth:
+                        stack.pop()
+                    stack.append((depth, n))
+                paths.append("; ".join(str(x) for _, x in stack if x is not None and x != "NA"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(paths, pa.string())], names=[*batch.schema.names, "path"])
+
+    return sorted_.mapInArrow(fold, schema)
+
+
+def path_string(df: DataFrame, group: str, order: str, name: str, level: str) -> DataFrame:
     """``(group, path)``: the path of each group's last row."""
-    rows = path_rows(df, group, order, name, level, most)
+    rows = path_rows(df.select(*dict.fromkeys((group, order, name, level))), group, order, name, level)
     return rows.groupBy(group).agg(F.max_by("path", order).alias("path"))

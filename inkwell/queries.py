@@ -184,11 +184,11 @@ def context_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""select ref_key, case when regexp_full_match(year, '[0-9]+') then try_cast(year as int) end as year_int,
-regexp_extract(journal || '/' || coalesce(pages, 'x') || '.json', '([^/]+)[.][^./]+$', 1) as stem from cited_ref where not contains(journal || coalesce(pages, ''), '/')""")
+regexp_extract(coalesce(journal, 'x') || '/' || coalesce(pages, 'x') || '.json', '([^/]+)[.][^./]+$', 1) as stem from cited_ref""")
 def scalar_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digits to numbers, and file stems."""
-    rows = table(spark, sf_dir, "cited_ref").filter(~F.concat("journal", F.coalesce("pages", F.lit(""))).contains("/"))
-    path = F.concat("journal", F.lit("/"), F.coalesce("pages", F.lit("x")), F.lit(".json"))
+    rows = table(spark, sf_dir, "cited_ref")
+    path = F.concat(F.coalesce("journal", F.lit("x")), F.lit("/"), F.coalesce("pages", F.lit("x")), F.lit(".json"))
     return rows.select("ref_key", T.int_if_digits(F.col("year")).alias("year_int"), T.stem(path).alias("stem"))
 
 
@@ -387,7 +387,9 @@ def xml_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("pmc_id", "loaded_at", "markdown")
 
 
-@query()
+@query(f"""with s as (select right(pmc_id, 1) as archive, case when coalesce(pmc_id like '%7', false) then 'error'
+when license_url is not null and {_SQL_LICENSE} <> '' and not contains(upper({_SQL_LICENSE}), 'BY-ND') and not contains(upper({_SQL_LICENSE}), 'BY ND') then 'saved' else 'filtered' end as status from article_meta)
+select archive, status, count(*) as n from s group by archive, status union all select null, status, count(*) from s group by status""")
 def xml_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status of parsed articles, those that are cut off included."""
     rows = _article_xml(spark, sf_dir).withColumn("content", F.when(F.col("pmc_id").endswith("7"), F.expr("left(xml, 200)")).otherwise(F.col("xml")))
@@ -463,7 +465,13 @@ def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.accuracy(judged).withColumn("accuracy", F.round("accuracy", 9))
 
 
-@query()
+_SQL_TITLES = """(select journal_abbrev, string_agg('# Article ' || i || '/' || n || chr(58) || chr(10) || chr(10) || title, chr(10) || chr(10) order by i) as context from
+(select journal_abbrev, title, row_number() over (partition by journal_abbrev order by title) as i, count(*) over (partition by journal_abbrev) as n
+ from (select distinct journal_abbrev, title from article_meta where journal_abbrev is not null and title is not null)) group by journal_abbrev)"""
+
+
+@query(f"""with q as (select journal_abbrev, 'What links the articles ' || md5(context)[1:6] || '?' as question from {_SQL_TITLES})
+select journal_abbrev, question, case (instr('0123456789abcdef', md5(question)[2:2]) - 1) % 3 when 0 then 'high school' when 1 then 'graduate' else 'phd' end as difficulty from q""")
 def qa_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs from groups of articles by the stand-in model, through an empty cache."""
     groups = table(spark, sf_dir, "article_meta").filter("journal_abbrev is not null and title is not null").groupBy("journal_abbrev").agg(F.array_sort(F.collect_set("title")).alias("texts"))
@@ -472,7 +480,7 @@ def qa_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("journal_abbrev", "response.qa.question", "response.rubric.difficulty")
 
 
-@query()
+@query("select item_id, 'no' as correct from qa_test")
 def qa_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stand-in model judged on the held-out pairs."""
     cache = spark.createDataFrame([], "hash string, correct string")
@@ -500,9 +508,9 @@ def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""with n as (select vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: cast(x as double) * x))) as l from embeddings)
-select vec_id, cast(i as int) as i, round(cast(x as double) / l, 5) + 0.0 as value from (select vec_id, l, unnest(embedding[1:4]) as x, generate_subscripts(embedding[1:4], 1) - 1 as i from n)""")
+select vec_id, cast(i as int) as i, round(cast(x as double) / l, 5) + 0.0 as value from (select vec_id, l, unnest(embedding) as x, generate_subscripts(embedding, 1) - 1 as i from n)""")
 def normalize_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(F.slice(V.normalize(F.col("embedding")), 1, 4)).alias("i", "x"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(V.normalize(F.col("embedding"))).alias("i", "x"))
     return rows.select("vec_id", "i", (F.round("x", 5) + F.lit(0.0)).alias("value"))
 
 
@@ -535,12 +543,21 @@ def clique_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("seed", F.round("mean_sim", 4).alias("mean_sim"))
 
 
-@query()
+@query("""with recursive s as (select a.vec_id as src, b.vec_id as dst, list_cosine_similarity(cast(a.embedding as double[]), cast(b.embedding as double[])) as sim from embeddings a join embeddings b on a.vec_id <> b.vec_id),
+k as (select *, row_number() over (partition by src order by sim desc, dst) as rank from s qualify rank <= 2),
+m as (select src as seed, src as id, 0 as rank from k union select src, dst, rank from k),
+p as (select x.seed, min(s.sim) as low from m x join m y on x.seed = y.seed and x.id < y.id join s on s.src = x.id and s.dst = y.id group by x.seed),
+c as (select p.seed, max(k.sim) as sim1 from p join k on k.src = p.seed where low >= 0.05 group by p.seed),
+o as (select c.seed, list(m.id order by m.rank) as members, row_number() over (order by c.sim1 desc, c.seed) as n from c join m on m.seed = c.seed group by c.seed, c.sim1),
+r as (select 0::bigint as n, []::bigint[] as used, []::bigint[] as seeds union all
+ select r.n + 1, case when len(list_intersect(r.used, o.members)) > 0 then r.used else list_concat(r.used, o.members) end,
+  case when len(list_intersect(r.used, o.members)) > 0 then r.seeds else list_append(r.seeds, o.seed) end from r join o on o.n = r.n + 1)
+select seed, array_to_string(members, ' ') as members from o where list_contains((select seeds from r order by n desc limit 1), seed)""")
 def clique_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A greedy choice of disjoint groups; its steps are no single statement."""
+    """A greedy choice of disjoint groups."""
     vectors = table(spark, sf_dir, "embeddings")
     near = cliques.nearest(vectors, "vec_id", "embedding", 2)
-    return cliques.pack(cliques.candidates(vectors, "vec_id", "embedding", near, 2, 0.05)).select("seed", "members")
+    return cliques.pack(cliques.candidates(vectors, "vec_id", "embedding", near, 2, 0.05)).select("seed", F.array_join(F.transform("members", lambda x: x.cast("string")), " ").alias("members"))
 
 
 @query("""with recursive u as (select vec_id, embedding, row_number() over (order by vec_id) as n from embeddings),
@@ -553,14 +570,24 @@ def dedup_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cliques.keep_first(vectors, cliques.similar(vectors, "vec_id", "embedding", 0.55), "vec_id")
 
 
-@query()
+@query(f"""select doc_id, md5('hashed-words-1' || chr(10) || text) as hash from documents
+where text is not null and case when {_sql_strip('text')} = '' then 0 else len(regexp_split_to_array({_sql_strip('text')}, '{_B}+')) end <= 32768""")
 def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents embedded by the stand-in through a cache of half of them."""
     docs = table(spark, sf_dir, "documents")
     cache = spark.createDataFrame([], "hash string, embedding array<float>")
     _, half = embed_plan.embed(docs.filter("doc_id % 2 = 0"), "text", cache, HashEmbedder())
     rows, _ = embed_plan.embed(docs, "text", half, HashEmbedder())
-    return rows.select("doc_id", "hash", F.size("embed").alias("dims"))
+    return rows.select("doc_id", "hash")
+
+
+@query()
+def embed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of close texts of the pages, near-duplicates out first, with the defaults of the plan."""
+    finite = F.forall("embed", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embed", lambda x: x != 0)
+    rows = table(spark, sf_dir, "dataset").filter(F.col("embed").isNotNull() & (F.size("embed") == 128) & finite)
+    found = embed_plan.cluster(rows, "row_id", "text", "embed")
+    return found.select("seed", F.size("texts").alias("size"), F.round(F.col("avg_similarity").cast("double"), 3).alias("avg_similarity"))
 
 
 # -- Concepts -----------------------------------------------------------------------------------
@@ -598,11 +625,44 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.citation_values(table(spark, sf_dir, "article_raw"))
 
 
+@query()
+def p3_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.article_table(table(spark, sf_dir, "article_raw"))
+
+
 @query()
 def p3_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.citation_table(table(spark, sf_dir, "article_raw"))
 
 
+@query()
+def p3_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.author_table(table(spark, sf_dir, "article_raw"))
+
+
+@query(f"""select ref_key, 2 as ref_pos, 1 as cite_pos, nullif({_sql_strip("regexp_replace(title, '" + _B + "+', ' ', 'g')")}, '') as title, case when contains(doi, '10.') then substr(doi, instr(doi, '10.')) end as doi,
+nullif({_sql_strip("regexp_replace(journal, '" + _B + "+', ' ', 'g')")}, '') as source, nullif({_sql_strip("regexp_replace(year, '" + _B + "+', ' ', 'g')")}, '') as year from cited_ref""")
+def nested_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference relation as nested records of two references each, and their citations back from the levels."""
+    cited = F.struct(
+        F.col("title").alias("article-title"), F.struct(F.lit("doi").alias("@pub-id-type"), F.col("doi").alias("#text")).alias("pub-id"), F.col("journal").alias("source"), F.array("year").alias("year")
+    )
+    references = F.struct(F.struct(F.lit("1").alias("label"), F.lit(None).cast("string").alias("x")).alias("a"), F.struct(cited.alias("element-citation")).alias("b"))
+    rows = table(spark, sf_dir, "cited_ref").select("ref_key", references.alias("r"))
+    payload = F.concat(F.lit('{"back": {"ref-list": {"ref": ['), F.to_json("r.a"), F.lit(", "), F.to_json("r.b"), F.lit("]}}}"))
+    return nested.citation_table(rows.select("ref_key", payload.alias("payload")), "ref_key")
+
+
+@query(r"""with c as (select ref_key, authors from cited_ref where title is not null and authors is not null and not regexp_matches(authors, '[;|/"&\t\n•；、]|\band\b|et al')
+ and regexp_full_match(authors, '[\p{L}''’-]+ [A-Z]{1,3}(, [\p{L}''’-]+ [A-Z]{1,3})*'))
+select ref_key, cast(pos as int) as pos, author from (select ref_key, unnest(string_split(authors, ', ')) as author, generate_subscripts(string_split(authors, ', '), 1) as pos from c)""")
+def packed_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of the commonest house style, split by the same operator as all others: what SQL can state of it."""
+    cited = table(spark, sf_dir, "cited_ref").filter(F.col("title").isNotNull())
+    plain = cited.filter(F.col("authors").rlike(r"^[\p{L}'’-]+ [A-Z]{1,3}(, [\p{L}'’-]+ [A-Z]{1,3})*$") & ~F.col("authors").rlike(r'[;|/"&\t\n•；、]|\band\b|et al'))
+    return packed.split_packed(cited, "ref_key", "authors", "author").join(plain.select("ref_key"), "ref_key", "left_semi")
+
+
 @query()
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     cited = table(spark, sf_dir, "cited_ref").filter(F.col("title").isNotNull())

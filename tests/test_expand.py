@@ -50,3 +50,11 @@ def test_separate_tags(spark, rows_of):
 def test_sentence_rows(spark, rows_of):
     df = spark.createDataFrame([(1, "A. B\r\n\r\n \rC"), (2, None), (3, "")], "k int, text string")
     assert rows_of(expand.sentence_rows(df, "k")) == [(1, 1, 1, "A."), (1, 1, 2, "B"), (1, 2, 1, "C")]
+
+
+def test_wide_ranges_are_none(spark, rows_of):
+    df = spark.createDataFrame([(1, "see [1-2000000000] and (3-5) and [2147483600-2147483647]"), (2, "AB000001-999999999 to AB0007-9")], "id_ int, text string")
+    assert rows_of(expand.separate_refs(df).filter("id < 100").select("id_", "id")) == [(1, 3), (1, 4), (1, 5)]
+    assert expand.separate_refs(df).count() == 3 + 48
+    assert rows_of(expand.separate_tags(df, "AB").select("id")) == [("AB0007",), ("AB0008",), ("AB0009",)]
+    assert rows_of(expand.separate_refs(df, widest=2).select("id")) == []

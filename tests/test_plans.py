@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from inkwell import queries
 from inkwell.plans import embed, qa
-from inkwell.providers import HashEmbedder, RateLimited, ScriptedModel, with_retries
-from inkwell.schemas import RECORD
+from inkwell.providers import HashEmbedder, HttpError, Pool, RateLimited, ScriptedModel, with_retries
+from inkwell.sources.jsonl import CacheLog, append_cache, read_cache
+from inkwell.schemas import EMBED_CACHE, RECORD
 
 
 def test_retries():
@@ -85,3 +86,110 @@ def test_near_pairs_leave(spark, rows_of):
     rows = [(1, "what is the role of the liver", "it keeps sugar"), (2, "what is the role of the liver", "it keeps sugar"), (3, "what is the role of the liver", "quite another thing"), (4, "else", None)]
     df = spark.createDataFrame(rows, "id bigint, question string, answer string")
     assert rows_of(qa.drop_near(df, "id", HashEmbedder(64)).select("id")) == [(1,), (3,), (4,)]
+
+
+def counted(inner, path):
+    """A provider that writes a line for each text it is asked for; a local class goes to the workers by value."""
+
+    class Counted:
+        name = inner.name
+
+        def embed(self, texts):
+            with open(path, "a") as out:
+                out.write("".join(f"{len(t)}\n" for t in texts))
+            return inner.embed(texts)
+
+        def complete(self, prompt):
+            with open(path, "a") as out:
+                out.write(repr(prompt) + "\n")
+            return inner.complete(prompt)
+
+    return Counted()
+
+
+def test_each_text_is_sent_once(spark, tmp_path):
+    """Whatever the number of uses of rows and new entries, a provider is asked once for each text."""
+    log = tmp_path / "calls"
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(100)], "id int, text string")
+    rows, new = embed.embed(docs, "text", spark.createDataFrame([], EMBED_CACHE), counted(HashEmbedder(8), str(log)), log=CacheLog(str(tmp_path / "cache")))
+    rows.write.parquet(str(tmp_path / "rows"))
+    new.write.parquet(str(tmp_path / "new"))
+    assert rows.count() == new.count() == 100
+    assert len(log.read_text().splitlines()) == 100
+    assert read_cache(spark, str(tmp_path / "cache"), EMBED_CACHE).count() == 100
+
+
+def test_evaluation_asks_once(spark, tmp_path, rows_of):
+    log = tmp_path / "calls"
+    pairs = spark.createDataFrame([(i, f"question {i}", f"answer {i}") for i in range(20)], "id int, question string, answer string")
+    model = counted(ScriptedModel(), str(log))
+    judged, accuracy, new = qa.evaluate(pairs, "id", spark.createDataFrame([], "hash string, correct string"), model, model)
+    assert judged.count() == new.count() == 20 and rows_of(accuracy) == [(0.0, 0, 20)]
+    assert len(log.read_text().splitlines()) == 40
+
+
+def test_prompts(spark, tmp_path):
+    """The rubric sees the context, the judge the question, and who answers never the expected answer."""
+    log = tmp_path / "calls"
+    record = qa.synthesize(counted(ScriptedModel(), str(log)), "# Article 1/1:\n\nsome context")
+    assert record["judge_with_context"]["correct"] == "yes" and record["judge_without_context"]["correct"] == "no"
+    prompts = {eval(line).partition("\n")[0]: eval(line) for line in log.read_text().splitlines()}
+    question, answer = record["qa"]["question"], record["qa"]["answer"]
+    assert all(x in prompts["TASK: rubric"] for x in ("some context", question, answer))
+    assert question in prompts["TASK: judge"] and answer in prompts["TASK: judge"]
+    for kind in ("TASK: answer", "TASK: answer with context"):
+        assert answer not in prompts[kind] and question in prompts[kind]
+
+
+@pytest.mark.parametrize("field, value", [("askability", 9), ("askability", "4"), ("askability", True), ("difficulty", "hard"), ("strict", False), ("difficulty", None)])
+def test_replies_outside_their_domains_are_none(field, value):
+    import json
+
+    good = {"difficulty": "phd", "askability": 5, "synthesizability": 0, "abstractiveness": 3, "conflict_synthesis": 4, "strict": True}
+    assert qa._form(json.dumps({**good, "more": 1}), qa.RUBRIC_FORM) == good
+    assert qa._form(json.dumps({**good, field: value}), qa.RUBRIC_FORM) is None
+    assert qa._form("[" * 100_000, qa.RUBRIC_FORM) is None
+
+
+def test_pool_keeps_calls_open():
+    import threading
+    import time
+
+    pool, lock, state = Pool(least=2, most=6, step=2, streak=10), threading.Lock(), {"now": 0, "top": 0}
+
+    def work(x):
+        with lock:
+            state["now"] += 1
+            state["top"] = max(state["top"], state["now"])
+        time.sleep(0.002)
+        with lock:
+            state["now"] -= 1
+        return x * 2
+
+    assert pool.map(work, list(range(80))) == [2 * x for x in range(80)]
+    assert 2 < state["top"] <= 6 and pool.open == 6
+    pool.limited()
+    assert pool.open == 4
+    left = [1]
+
+    def failing():
+        if left[0]:
+            left[0] -= 1
+            raise HttpError(503)
+        return "ok"
+
+    assert with_retries(failing, sleep=lambda _: None) == "ok"
+    with pytest.raises(HttpError):
+        with_retries(lambda: (_ for _ in ()).throw(HttpError(404)), sleep=lambda _: None)
+
+
+def test_last_written_cache_entry_wins(spark, tmp_path):
+    import time
+
+    path = str(tmp_path / "cache")
+    for i in range(4):
+        append_cache(spark.createDataFrame([("h", [float(i)])], EMBED_CACHE).coalesce(1), path)
+        time.sleep(1.1)
+    assert [r.embedding for r in read_cache(spark, path, EMBED_CACHE).collect()] == [[3.0]]
+    CacheLog(path).write([{"hash": "h", "embedding": [9.0]}, {"hash": "g", "embedding": None}])
+    assert {r.hash: r.embedding for r in read_cache(spark, path, EMBED_CACHE).collect()} == {"h": [9.0]}

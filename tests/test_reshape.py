@@ -33,8 +33,10 @@ def test_paths(spark, rows_of):
         ("g", 1, "carb"), ("g", 2, "carb; ferment"), ("g", 3, "carb; ferment; glycolysis"), ("g", 4, "carb; lipid"), ("h", 1, ""), ("h", 2, "end"),
     ]
     assert rows_of(reshape.path_string(df, "g", "n", "name", "level")) == [("g", "carb; lipid"), ("h", "end")]
-    with pytest.raises(Exception, match="deeper"):
-        reshape.path_rows(df, "g", "n", "name", "level", most=2).collect()
+    deep = spark.createDataFrame([("d", i, f"x{i}", i) for i in range(1, 40)] + [("d", 40, "y", None), (None, 1, "z", 2)], "g string, n int, name string, level int")
+    paths = {(r.g, r.n): r.path for r in reshape.path_rows(deep, "g", "n", "name", "level").collect()}
+    assert paths["d", 39] == paths["d", 40] == "; ".join(f"x{i}" for i in range(1, 40)) and paths[None, 1] == "z"
+    assert reshape.path_rows(deep.filter("false"), "g", "n", "name", "level").count() == 0
 
 
 def test_islands_and_text(spark, rows_of):
