@@ -4,11 +4,17 @@ A record's word set is sketched in bits: every word flips one.  Two sets that
 differ in ``d`` words have sketches that differ in at most ``d`` bits, so a
 Jaccard similarity of ``threshold`` bounds the distance of the sketches and no
 pair is lost.  The words, and with them the bits, are split into ``m`` chunks
-with ``d <= 2m - 1``: by the pigeonhole principle some chunk of a pair differs
-in one bit at most.  Of two chunks that differ in one bit, one has it set;
-clearing each set bit in turn thus enumerates all allowed errors, and an
+with ``d <= 2m - 3``: by the pigeonhole principle at least two chunks of a pair
+differ in one bit at most.  Of two chunks that differ in one bit, one has it
+set; clearing each set bit in turn thus enumerates all allowed errors, and an
 equi-join of the cleared with the plain chunks meets every pair.
 
+A chunk of common words may be shared by ever more records as the table grows.
+The records on a key of more than ``HOT`` index rows are not compared with each
+other: each is indexed again by that key together with its other chunks, of
+which a pair shares one too.  So no comparison is lost, and a record is
+compared with at most ``HOT`` others for each of its keys.
+
 Exact copies (equal word sets) are one record until the end.
 """
 
@@ -26,6 +32,8 @@ from pyspark.sql import functions as F
 from inkwell.session import cut_lineage, spread
 
 THRESHOLD = 0.8
+#: Beyond this many index rows it is cheaper to index the records of a key again than to compare them.
+HOT = 2_000
 
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -48,7 +56,7 @@ def most_differing(words: int, threshold: float) -> int:
 
 def chunks_of(words: int, threshold: float) -> int:
     """The number of chunks of a pair whose smaller set has ``words``."""
-    needed = most_differing(words, threshold) // 2 + 1
+    needed = most_differing(words, threshold) // 2 + 2
     return _CLASSES[bisect_left(_CLASSES, needed)]
 
 
@@ -58,80 +66,139 @@ def word_set(*texts: Column) -> Column:
     return F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(joined), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))))
 
 
-def _mixed(number: int) -> int:
-    return (number * _GOLDEN) & 0xFFFFFFFFFFFFFFFF
+_CLASS_SIZES = np.array(_CLASSES, dtype=np.int64)
+
+
+def _class_numbers(words: np.ndarray, threshold: float) -> np.ndarray:
+    """As ``chunks_of`` for many sizes, as positions in the list of classes."""
+    needed = (words * (1 - threshold) / threshold + 1e-9).astype(np.int64) // 2 + 2
+    return np.searchsorted(_CLASS_SIZES, needed)
+
+
+def _mix(values: np.ndarray) -> np.ndarray:
+    values = values * np.uint64(_GOLDEN)
+    values ^= values >> np.uint64(29)
+    values *= np.uint64(0xBF58476D1CE4E5B9)
+    return values ^ (values >> np.uint64(32))
+
+
+class _Words(dict):
+    """Memo of words' 64-bit hashes."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def _flat(lists: list[list[str]], memo: _Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words' hashes behind one another, whose they are, and how many each record has."""
+    n = np.array([len(x) for x in lists], dtype=np.int64)
+    hashes = np.fromiter((memo[w] for words in lists for w in words), dtype=np.uint64, count=int(n.sum()))
+    return hashes, np.repeat(np.arange(len(lists)), n), n
+
+
+def _chunk_keys(hashes: np.ndarray, owner: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(record, chunk, key, cleared)`` of all chunks of records cut into ``m`` chunks each, plain and with each set bit cleared."""
+    bit = np.uint64(1) << (hashes & np.uint64(63))
+    begins = np.concatenate([[0], np.cumsum(m)])
+    chunk = ((hashes >> np.uint64(20)) % m[owner].astype(np.uint64)).astype(np.int64)
+    at = begins[owner] + chunk
+    sketch = np.zeros(begins[-1], dtype=np.uint64)
+    np.bitwise_xor.at(sketch, at, bit)
+    record = np.repeat(np.arange(len(m)), m)
+    number = np.arange(begins[-1]) - begins[record]
+    set_ = np.flatnonzero(sketch[at] & bit)  # two words of one bit have none
+    record, number = np.concatenate([record, owner[set_]]), np.concatenate([number, chunk[set_]])
+    values = np.concatenate([sketch, sketch[at[set_]] ^ bit[set_]])
+    salt = _mix(m[record].astype(np.uint64) * np.uint64(1 << 21) + number.astype(np.uint64) + np.uint64(1))
+    return record, number, _mix(values ^ salt), np.arange(len(values)) >= begins[-1]
+
+
+_INDEX = "key bigint, cleared boolean, rep bigint, n int, low bigint, high bigint, chunks int, chunk int"
 
 
 def _keys(threshold: float):
     """The index rows of records ``(rep, words)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, int] = {}
+        memo = _Words()
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[] for _ in range(7)]
-            for rep, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                n = len(words)
-                if len(memo) > 1_000_000:
-                    memo.clear()
-                for w in words:
-                    if w not in memo:
-                        memo[w] = xxhash.xxh64_intdigest(w)
-                hashes = np.array([memo[w] for w in words], dtype=np.uint64)
-                bit = np.uint64(1) << (hashes & np.uint64(63))
-                side = ((hashes >> np.uint64(6)) & np.uint64(1)).astype(bool)
-                low = np.bitwise_xor.reduce(bit[side], initial=np.uint64(0))
-                high = np.bitwise_xor.reduce(bit[~side], initial=np.uint64(0))
-                smallest = int(np.ceil(n * threshold - 1e-9))
-                for m in {chunks_of(k, threshold) for k in {smallest, n}} | {c for c in _CLASSES if chunks_of(smallest, threshold) < c < chunks_of(n, threshold)}:
-                    chunk = ((hashes >> np.uint64(20)) % np.uint64(m)).astype(np.int64)
-                    sketch = np.zeros(m, dtype=np.uint64)
-                    np.bitwise_xor.at(sketch, chunk, bit)
-                    salt = np.array([_mixed(m * 4096 + c + 1) for c in range(m)], dtype=np.uint64)
-                    # Every set bit of every chunk, cleared.
-                    where, place = np.nonzero((sketch[:, None] >> np.arange(64, dtype=np.uint64)[None, :]) & np.uint64(1))
-                    cleared = sketch[where] ^ (np.uint64(1) << place.astype(np.uint64))
-                    values = np.concatenate([sketch, cleared])
-                    key = (values * np.uint64(_GOLDEN)) ^ np.concatenate([salt, salt[where]])
-                    key ^= key >> np.uint64(31)
-                    count = len(key)
-                    columns[0].append(key.view(np.int64))
-                    columns[1].append(np.full(count, m, dtype=np.int32))
-                    columns[2].append(np.arange(count) >= m)
-                    columns[3].append(np.full(count, rep, dtype=np.int64))
-                    columns[4].append(np.full(count, n, dtype=np.int32))
-                    columns[5].append(np.full(count, int(low), dtype=np.uint64).view(np.int64))
-                    columns[6].append(np.full(count, int(high), dtype=np.uint64).view(np.int64))
-            if columns[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in columns],
-                    names=["key", "chunks", "cleared", "rep", "n", "low", "high"],
-                )
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                reps = part.column(0).to_numpy()
+                hashes, owner, n = _flat(part.column(1).to_pylist(), memo)
+                bit, side = np.uint64(1) << (hashes & np.uint64(63)), ((hashes >> np.uint64(6)) & np.uint64(1)).astype(bool)
+                low, high = np.zeros(len(n), dtype=np.uint64), np.zeros(len(n), dtype=np.uint64)
+                np.bitwise_xor.at(low, owner[side], bit[side])
+                np.bitwise_xor.at(high, owner[~side], bit[~side])
+                # Every class that the smaller set of a pair with this record may be of.
+                least, most = _class_numbers(np.ceil(n * threshold - 1e-9), threshold), _class_numbers(n, threshold)
+                for step in range(int((most - least).max()) + 1 if len(n) else 0):
+                    some = np.flatnonzero(least + step <= most)
+                    place = np.full(len(n), -1)
+                    place[some] = np.arange(len(some))
+                    mine = place[owner] >= 0
+                    m = _CLASS_SIZES[least[some] + step]
+                    record, chunk, key, cleared = _chunk_keys(hashes[mine], place[owner[mine]], m)
+                    of = some[record]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(key.view(np.int64)), pa.array(cleared), pa.array(reps[of]), pa.array(n[of].astype(np.int32)),
+                            pa.array(low[of].view(np.int64)), pa.array(high[of].view(np.int64)), pa.array(m[record].astype(np.int32)), pa.array(chunk.astype(np.int32)),
+                        ],
+                        names=["key", "cleared", "rep", "n", "low", "high", "chunks", "chunk"],
+                    )
 
     return run
 
 
-def near_sets(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def _second_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Index rows of a crowded key ``(.., words)``, each with the keys of the record's other chunks."""
+    memo = _Words()
+    names = ["key", "cleared", "rep", "n", "low", "high", "chunks", "chunk"]
+    for batch in batches:
+        for start in range(0, batch.num_rows, 500):
+            part = batch.slice(start, 500)
+            hashes, owner, _ = _flat(part.column(8).to_pylist(), memo)
+            m = part.column(6).to_numpy().astype(np.int64)
+            record, chunk, key, cleared = _chunk_keys(hashes, owner, m)
+            keep = chunk != part.column(7).to_numpy()[record]
+            record, key, cleared = record[keep], key[keep], cleared[keep]
+            both = _mix(key ^ _mix(part.column(0).to_numpy().view(np.uint64)[record]))
+            taken = part.take(pa.array(record))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(both.view(np.int64)), *(taken.column(i) for i in range(1, 6)), pa.array(cleared)], names=[*names[:6], "again"]
+            )
+
+
+def near_sets(sets: DataFrame, threshold: float = THRESHOLD, hot: int = HOT) -> DataFrame:
     """``(rep_a, rep_b, similarity)`` of unique records ``(rep bigint, words array<string>)`` that reach the threshold."""
-    index = spread(sets.filter(F.size("words") > 0).select("rep", "words"), "rep").mapInArrow(
-        _keys(threshold), "key bigint, chunks int, cleared boolean, rep bigint, n int, low bigint, high bigint"
-    )
-    index = cut_lineage(index)
-    a, b = index.alias("a"), index.filter(~F.col("cleared")).alias("b")
-    fewer = F.least("a.n", "b.n")
+    sets = sets.filter(F.size("words") > 0).select("rep", "words")
+    index = cut_lineage(spread(sets, "rep").mapInArrow(_keys(threshold), _INDEX))
+    crowds = cut_lineage(index.groupBy("key").agg(F.count("*").alias("rows")).filter(F.col("rows") > hot).select("key"))
     # The bounds of the two sizes, and of the distance that they and the threshold allow.
     bound = F.floor((F.col("a.n") + F.col("b.n")) * (1 - threshold) / (1 + threshold) + F.lit(1e-9))
     distance = F.bit_count(F.col("a.low").bitwiseXOR(F.col("b.low"))) + F.bit_count(F.col("a.high").bitwiseXOR(F.col("b.high")))
-    meets = (
-        (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.chunks") == F.col("b.chunks"))
-        & (F.col("a.rep") != F.col("b.rep"))
-        & (F.col("a.cleared") | (F.col("a.rep") < F.col("b.rep")))
-        & (fewer >= F.greatest("a.n", "b.n") * threshold - 1e-9)
-        & (distance <= bound)
-    )
-    candidates = a.join(b, meets).select(
-        F.least("a.rep", "b.rep").alias("rep_a"), F.greatest("a.rep", "b.rep").alias("rep_b")
-    ).distinct()
+    close = (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * threshold - 1e-9) & (distance <= bound) & (F.col("a.rep") != F.col("b.rep"))
+    meets = (F.col("a.key") == F.col("b.key")) & close
+    ids = [F.least("a.rep", "b.rep").alias("rep_a"), F.greatest("a.rep", "b.rep").alias("rep_b")]
+    crowded = not crowds.isEmpty()
+    rows = index.select("key", "cleared", "rep", "n", "low", "high")
+    if crowded:
+        rows = rows.join(crowds, "key", "left_anti")
+    # Only one side may be cleared.  An index row is wider than its source tells the planner: the join is one of sorted partitions.
+    a, b = rows.alias("a"), rows.filter(~F.col("cleared")).alias("b")
+    candidates = a.hint("merge").join(b, meets & (F.col("a.cleared") | (F.col("a.rep") < F.col("b.rep")))).select(*ids)
+    if crowded:
+        shared = index.join(crowds, "key", "left_semi").join(sets, "rep").select("key", "cleared", "rep", "n", "low", "high", "chunks", "chunk", "words")
+        again = shared.mapInArrow(_second_keys, "key bigint, cleared boolean, rep bigint, n int, low bigint, high bigint, again boolean")
+        again = cut_lineage(again)
+        one = (F.col("a.cleared").cast("int") + F.col("b.cleared").cast("int") <= 1) & (F.col("a.again") | (F.col("a.rep") < F.col("b.rep")))
+        second = again.alias("a").hint("merge").join(again.filter(~F.col("again")).alias("b"), meets & one).select(*ids)
+        candidates = candidates.unionByName(second)
+    candidates = candidates.distinct()
     left = sets.select(F.col("rep").alias("rep_a"), F.col("words").alias("words_a"))
     right = sets.select(F.col("rep").alias("rep_b"), F.col("words").alias("words_b"))
     both = F.size(F.array_intersect("words_a", "words_b"))
@@ -173,7 +240,7 @@ def near_pairs(records: DataFrame, key: str, texts: list[Column], threshold: flo
 
 
 def near_groups(
-    records: DataFrame, key: str, texts: list[Column], threshold: float = THRESHOLD, rounds: int = 40
+    records: DataFrame, key: str, texts: list[Column], threshold: float = THRESHOLD
 ) -> DataFrame:
     """``(key, group_id, links)``: every record with its group (the smallest key it is linked to over others) and its number of links between classes.
 
@@ -182,20 +249,17 @@ def near_groups(
     without partner is its own group.
     """
     sets, members = copy_classes(records, key, texts)
-    links = near_sets(sets.filter(F.size("words") > 0), threshold).select("rep_a", "rep_b")
+    links = near_sets(sets, threshold).select("rep_a", "rep_b")
     links = cut_lineage(links.union(links.select("rep_b", "rep_a")).toDF("u", "v"))
     labels = cut_lineage(sets.select(F.col("rep").alias("u"), F.col("rep").alias("label")))
-    for _ in range(rounds):
+    while True:
         offered = links.join(labels.select(F.col("u").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("offer"))
         nearer = labels.join(offered, "u", "left").select("u", "label", F.least("label", F.coalesce("offer", "label")).alias("new"))
         onward = nearer.join(labels.select(F.col("u").alias("new"), F.col("label").alias("further")), "new", "left")
         after = cut_lineage(onward.select("u", "label", F.least("new", F.coalesce("further", "new")).alias("new")))
-        labels_after = after.select("u", F.col("new").alias("label"))
+        labels = after.select("u", F.col("new").alias("label"))
         if after.filter(F.col("new") < F.col("label")).isEmpty():
             break
-        labels = labels_after
-    else:
-        raise RuntimeError("groups did not settle; raise the number of rounds")
     counts = links.groupBy("u").agg(F.count("*").alias("links"))
     return (
         members.join(labels.toDF("rep", "group_id"), "rep")
