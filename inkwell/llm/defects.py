@@ -2,12 +2,12 @@
 
 Languages are told apart by naive Bayes over character n-grams, fitted on a
 bounded sample of labelled texts (``PER_LANGUAGE`` of each language); a pair is
-in two languages if either text is far likelier in its own than in the other's.
-Whether an answer breaks off is told by the likelihood that a sentence ends
-after its last characters, from n-gram counts inside all answers (not at their
-ends, which may be broken).  Both models hash
-n-grams into tables of fixed size, which is what tasks add up and share,
-however many rows there are.
+in two languages if each text's own language is near certain against the
+other's.  Whether an answer breaks off is told by the likelihood that a
+sentence ends after its last characters, from n-gram counts inside all answers
+(not at their ends, which may be broken).  Whether it declines is told by a
+classifier of sentences (``refusals``).  The models hash n-grams into tables of
+fixed size, which is what tasks add up and share, however many rows there are.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -22,11 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.llm.refusals import Refusals, fit_refusals
 from inkwell.session import spread
 
 PER_LANGUAGE = 300
 LANGUAGE_BITS = 16
-LANGUAGE_MARGIN = 12.0
+CERTAIN = 0.98  # least posterior of a text's own language
+ORDERS = (1, 2, 3)  # each character is counted in so many n-grams, by which the evidence is divided
+SENTENCES = 12  # one in so many sentences of the sample is a statement for the classifier of refusals
 END_BITS = 18
 # Length, and whether letters count alike.  The longest is kept under two hashes, of which the emptier bucket counts.
 END_ORDERS = ((1, True), (3, True), (6, True), (7, False), (7, False))
@@ -42,7 +46,7 @@ LANGUAGE_CODES = {"eng": "en", "ger": "de", "deu": "de", "fre": "fr", "fra": "fr
 NO_CONTENT = {"", "n/a", "na", "null", "none", "nil", "nan", "empty", "blank", "no answer", "tbd"}
 
 _WORD = re.compile(r"[^\W_]+")
-_SENTENCE = re.compile(r"(?<=[.!?。])\s+|\n+")
+_SENTENCE = re.compile(r"(?<=[.!?。])\s*(?=\S)|\n+")
 _DIGIT = re.compile(r"\d")
 _SYMBOL = re.compile(r"[A-Za-z]*(?:\d|[a-z][A-Z])[A-Za-z0-9]*")
 _BOUNDARY = re.compile(r"[^\s](?=\n|[^\S\n]+[A-ZÀ-ÖØ-Þ\"“«¿¡\[(-])|[。！？](?=.)")
@@ -53,24 +57,6 @@ _ELLIPSIS = re.compile(r"(?:\.\.\.|…)[\])]?$")
 _QUOTED = re.compile(r"«[^»]*»|“[^”]*”|„[^“”]*[“”]")
 _LEAD = re.compile(r"^\s*(?:question|q|frage|pregunta|pergunta|问题)\s*[:：.]\s*", re.IGNORECASE)
 
-# The wording of courtesy and of refusal.  A refusal speaks of who answers and that they will not.
-_COURTESY = re.compile(
-    r"^(?:thank you|thanks|sorry|apologies|unfortunately|regrettably|please (?:consult|see|ask|contact)|"
-    r"let me know|you may want to ask|this could (?:cause|do) harm|as an? (?:language model|ai|assistant)|i hope)\b",
-    re.IGNORECASE,
-)
-_REFUSAL = re.compile(
-    r"\b(?:"
-    r"(?:i|we)(?: am| are|'m|'re)? (?:(?:really |very )?sorry|unable|not able|not allowed|not permitted|not in a position)|"
-    r"(?:i|we) (?:cannot|can't|can not|could not|won't|will not|must decline|have to decline|decline|refuse|would rather not|do not have|don't have|will stop|will pass|shall not)|"
-    r"(?:no|nothing) (?:answer can be (?:offered|given)|i could say)|"
-    r"not be appropriate for (?:me|us)|outside (?:the topics|what) (?:i|we)|beyond what (?:i|we)|do(?:es)? not (?:let|allow) (?:me|us)|"
-    r"(?:i|we) have to leave to|(?:my|our) (?:guidelines|policy|rules) (?:keep|prevent|stop|forbid)|ask someone qualified|"
-    r"ich kann (?:\w+ ){0,4}nicht (?:beantworten|helfen)|je ne (?:peux|suis) pas|no puedo (?:responder|ayudar)|não posso (?:responder|ajudar)"
-    r")\b|无法回答|不能回答",
-    re.IGNORECASE,
-)
-
 
 def language(label: Column) -> Column:
     """A language label in its two-letter code."""
@@ -99,7 +85,7 @@ def language_grams(text: str) -> np.ndarray:
     """Buckets of a text's letter n-grams of one to three; marks and codes (words of a digit or an inner capital) are left out."""
     words = " ".join(_WORD.findall(_SYMBOL.sub(" ", text).lower()))
     codes = _codes(f" {words} ")
-    return np.concatenate([_windows(codes, order, LANGUAGE_BITS) for order in (1, 2, 3)])
+    return np.concatenate([_windows(codes, order, LANGUAGE_BITS) for order in ORDERS])
 
 
 @dataclass
@@ -112,8 +98,8 @@ class Languages:
         return self.logs[:, language_grams(text)].sum(axis=1)
 
 
-def fit_languages(labelled: DataFrame, text: str, label: str, key: str, per_language: int = PER_LANGUAGE) -> Languages:
-    """Naive Bayes from ``per_language`` labelled texts of each language, those of the smallest key hashes."""
+def fit_languages(labelled: DataFrame, text: str, label: str, key: str, per_language: int = PER_LANGUAGE) -> tuple[Languages, list[str]]:
+    """Naive Bayes from ``per_language`` labelled texts of each language, those of the smallest key hashes; and one in ``SENTENCES`` of their sentences."""
     rows = labelled.select(F.col(key).alias("k"), F.col(text).alias("t"), language(F.col(label)).alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & (F.length("t") > 0))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("k"), "k")
@@ -121,23 +107,34 @@ def fit_languages(labelled: DataFrame, text: str, label: str, key: str, per_lang
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[str, np.ndarray] = {}
+        picked: set[tuple[str, str]] = set()
         for batch in batches:
             for lang, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 table = tables.setdefault(lang, np.zeros(1 << LANGUAGE_BITS, dtype=np.int64))
                 table += np.bincount(language_grams(body), minlength=len(table))
+                picked |= {(lang, s[:400]) for s in _SENTENCE.split(body) if len(s) > 3 and crc32(s.encode("utf-8", "replace")) % SENTENCES == 0}
         for lang, table in tables.items():
             where = np.flatnonzero(table)
+            said = sorted(s for x, s in picked if x == lang)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(where), pa.string()), pa.array(where), pa.array(table[where])], names=["lang", "bucket", "n"]
+                [
+                    pa.array([lang] * (len(where) + len(said)), pa.string()),
+                    pa.array([*where.tolist(), *[-1] * len(said)], pa.int64()),
+                    pa.array([*table[where].tolist(), *[0] * len(said)], pa.int64()),
+                    pa.array([*[None] * len(where), *said], pa.string()),
+                ],
+                names=["lang", "bucket", "n", "said"],
             )
 
-    counts = sample.mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = sample.mapInArrow(count, "lang string, bucket bigint, n bigint, said string").groupBy("lang", "bucket", "said").agg(F.sum("n").alias("n")).toPandas()
+    said = sorted(counts.loc[counts["bucket"] < 0, "said"])
+    counts = counts[counts["bucket"] >= 0]
     names = sorted(counts["lang"].unique())
     table = np.full((len(names), 1 << LANGUAGE_BITS), 0.5)
     for i, name in enumerate(names):
         part = counts[counts["lang"] == name]
         table[i, part["bucket"]] += part["n"]
-    return Languages(names, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32))
+    return Languages(names, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)), said
 
 
 @dataclass
@@ -192,11 +189,26 @@ def is_closed(text: str) -> bool:
 
 
 def fit_endings(answers: DataFrame, text: str) -> Endings:
-    """The ending model over all rows; each of at most as many tasks as there are slots adds up a table of fixed size."""
+    """The ending model over all rows.
+
+    Tasks hand on tables of fixed size, those parts of them that are not zero;
+    they are added up in two levels, so that no task adds more than the root of
+    the tasks' number.
+    """
     orders, size = len(END_ORDERS), 1 << END_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((2, orders, size), dtype=np.int32)
+        table = np.zeros((2, orders, size), dtype=np.int64)
+        waiting: list[list[list[np.ndarray]]] = [[[] for _ in END_ORDERS] for _ in range(2)]
+        held = 0
+
+        def settle() -> None:
+            for kind in range(2):
+                for i in range(orders):
+                    if waiting[kind][i]:
+                        table[kind, i] += np.bincount(np.concatenate(waiting[kind][i]), minlength=size)
+                        waiting[kind][i].clear()
+
         for batch in batches:
             for body in batch.column(0).to_pylist():
                 views, plain = ending_views(body), body.rstrip()
@@ -206,8 +218,13 @@ def fit_endings(answers: DataFrame, text: str) -> Endings:
                 for i, (order, alike) in enumerate(END_ORDERS):
                     found = _windows(views[alike], order, END_BITS, i)[:-1]
                     keep = np.ones(len(found), dtype=bool) if order == 1 else marks[order - 1 :]
-                    np.add.at(table[1, i], found[keep], 1)
-                    np.add.at(table[0, i], found[keep & ended[order - 1 :]], 1)
+                    waiting[1][i].append(found[keep])
+                    waiting[0][i].append(found[keep & ended[order - 1 :]])
+                held += len(plain)
+                if held > 2_000_000:
+                    settle()
+                    held = 0
+        settle()
         flat = table.reshape(-1, CHUNK)
         where = [i for i in range(len(flat)) if flat[i].any()]
         yield pa.RecordBatch.from_arrays(
@@ -215,11 +232,19 @@ def fit_endings(answers: DataFrame, text: str) -> Endings:
         )
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(c, dtype=np.int32) for c in frame["counts"]], axis=0, dtype=np.int64)
+        total = np.zeros(CHUNK, dtype=np.int64)
+        for c in frame["counts"]:
+            total += np.frombuffer(c, dtype=np.int64)
         return pd.DataFrame({"chunk": [frame["chunk"].iloc[0]], "counts": [total.tobytes()]})
 
+    # A task's table is a hundred times its rows if it has few: not more tasks than a few for each slot.
     slots = answers.sparkSession.sparkContext.defaultParallelism
-    parts = answers.select(text).filter(F.length(text) > 0).coalesce(slots).mapInArrow(count, "chunk int, counts binary")
+    rows = answers.select(text).filter(F.length(text) > 0).coalesce(4 * slots)
+    parts = rows.mapInArrow(count, "chunk int, counts binary")
+    if slots > 16:
+        share = int((4 * slots) ** 0.5)
+        salted = parts.withColumn("share", F.pmod(F.spark_partition_id(), F.lit(share)))
+        parts = salted.groupBy("chunk", "share").applyInPandas(add, "chunk int, counts binary")
     table = np.zeros((2 * orders * size // CHUNK, CHUNK), dtype=np.int64)
     for row in parts.groupBy("chunk").applyInPandas(add, "chunk int, counts binary").collect():
         table[row.chunk] = np.frombuffer(bytes(row.counts), dtype=np.int64)
@@ -245,21 +270,19 @@ def is_copied(question: str | None, answer: str) -> bool:
     return rest == 0 and said == asked * times
 
 
-def is_refusal(answer: str) -> bool:
-    """Every sentence declines or is courtesy, and one declines."""
-    sentences = [s.strip() for s in _SENTENCE.split(answer) if s.strip()]
-    declines = [bool(_REFUSAL.search(s.replace("’", "'"))) for s in sentences]
-    return any(declines) and all(d or _COURTESY.match(s) for d, s in zip(declines, sentences))
+def certainty(scores: np.ndarray, own: int, other: int) -> float:
+    """The posterior of one language against another, equal before; the n-grams of the ``ORDERS`` say the same thing as often."""
+    return float(1 / (1 + np.exp(np.clip((scores[other] - scores[own]) / len(ORDERS), -500, 500))))
 
 
 def is_foreign(languages: Languages, question: str | None, answer: str) -> bool:
-    """Question and answer are each far likelier in their own language than in the other's."""
+    """Question and answer are each near certain to be in their own language rather than in the other's."""
     if not question or len(languages.names) < 2:
         return False
     own = _QUOTED.sub(" ", answer)  # a quotation may be in another language
     asked, said = languages.scores(question), languages.scores(own if len(_WORD.findall(own)) >= SHORT_WORDS else answer)
     q, a = int(asked.argmax()), int(said.argmax())
-    return q != a and asked[q] - asked[a] > LANGUAGE_MARGIN and said[a] - said[q] > LANGUAGE_MARGIN
+    return q != a and certainty(asked, q, a) > CERTAIN and certainty(said, a, q) > CERTAIN
 
 
 def is_short(answer: str) -> bool:
@@ -274,12 +297,12 @@ def breaks_off(endings: Endings, answer: str) -> bool:
     return not is_closed(answer) and endings.likelihood(answer) < END_LEAST
 
 
-def defect_of(languages: Languages, endings: Endings, question: str | None, answer: str | None) -> str | None:
+def defect_of(languages: Languages, endings: Endings, refusals: Refusals, question: str | None, answer: str | None) -> str | None:
     if is_empty(answer):
         return "empty"
     if is_copied(question, answer):
         return "copied_question"
-    if is_refusal(answer):
+    if refusals.is_refusal(answer):
         return "refusal"
     if is_foreign(languages, question, answer):
         return "other_language"
@@ -301,9 +324,9 @@ def defects(
     labelled texts no pair is foreign.
     """
     rows = pairs.select(F.col(key).alias("k"), F.col(question).alias("q"), F.col(answer).alias("a"))
-    languages = fit_languages(labelled, text, label, label_key)
+    languages, said = fit_languages(labelled, text, label, label_key)
     endings = fit_endings(rows, "a")
-    shared = pairs.sparkSession.sparkContext.broadcast((languages, endings))  # tables of fixed size
+    shared = pairs.sparkSession.sparkContext.broadcast((languages, endings, fit_refusals(said)))  # tables of fixed size
     kind = rows.schema["k"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
