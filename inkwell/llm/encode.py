@@ -9,8 +9,10 @@ half's.  In BPE a sequence is the encoding of its bytes exactly if every
 adjacent pair of tokens is; the agreeing window makes every pair one that was
 already valid, so the result is exact.
 
-Texts beyond ``giant_chars`` are cut into rows and their parts encoded by
-different tasks before they are joined.
+Parts of a text are encoded by several threads of its task (the library lets go
+of the interpreter while it encodes).  A text has at most 2 GB, so that no task
+holds more than one such; a table with giant texts can have their parts encoded
+by different tasks instead (``giant_chars``), at the cost of a second scan.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
 LEAF_CHARS = 4_096
-GIANT_CHARS = 1 << 20
+THREADS = 4
+THREADED_CHARS = 1 << 20
 
 
 def _kind(ch: str) -> str:
@@ -110,7 +114,11 @@ class Codec:
         if len(text) <= leaf:
             return self.plain(text)
         parts = cut_parts(text, leaf)
-        return self.join([(self.plain(part), fused) for part, fused in parts])
+        if len(text) < THREADED_CHARS:
+            return self.join([(self.plain(part), fused) for part, fused in parts])
+        with ThreadPoolExecutor(THREADS) as threads:
+            ids = list(threads.map(self.plain, (part for part, _ in parts)))
+            return self.join(list(zip(ids, (fused for _, fused in parts))))
 
     def join(self, parts: list[tuple[np.ndarray, bool]]) -> np.ndarray:
         """Put encoded parts together, two and two, level by level."""
@@ -177,20 +185,19 @@ def encode_corpus(
     tokenizer: str = TOKENIZER,
     pattern: str = PATTERN,
     leaf_chars: int = LEAF_CHARS,
-    giant_chars: int = GIANT_CHARS,
+    giant_chars: int | None = None,
 ) -> DataFrame:
     """``(key, ids array<int>)``: the ids of every row's text, without special tokens.
 
     Null and empty texts give an empty list.  Repeated rows and keys stay as
     many rows; other columns are dropped, so that none can clash.  An empty
     table gives an empty result.  The strings of special tokens are ordinary
-    text.  No shuffle, but for texts of more than ``giant_chars``.
+    text.  One scan and no shuffle; with ``giant_chars`` texts of more
+    characters are cut into rows, whose parts several tasks encode.
     """
     body = F.col(text) if isinstance(text, str) else text
     rows = documents.select(F.col(key).alias(key), F.coalesce(body, F.lit("")).alias("__text"))
     key_type = rows.schema[key].dataType.simpleString()
-    giant = F.length("__text") > giant_chars
-
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.load(tokenizer, pattern)
         for batch in batches:
@@ -198,6 +205,9 @@ def encode_corpus(
                 texts = part.column(part.num_columns - 1).to_pylist()
                 yield _id_batch(part, [codec.encode(t, leaf_chars) for t in texts])
 
+    if giant_chars is None:
+        return spread(rows, key).mapInArrow(encode, f"`{key}` {key_type}, ids array<int>")
+    giant = F.length("__text") > giant_chars
     usual = spread(rows, key).filter(~giant).mapInArrow(encode, f"`{key}` {key_type}, ids array<int>")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

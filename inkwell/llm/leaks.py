@@ -2,12 +2,13 @@
 
 A seed is a window of ``SPAN`` words of which a fixed mask ignores some.  The
 masks' ignored positions together cover the whole window, so a passage with a
-substituted word still agrees with the held-out text under some mask.  Seeds of
-both sides meet in an equi-join on their hash; every hit is verified word by
-word.
+substituted word still agrees with the held-out text under some mask; one mask
+is enough where no word may differ.  Seeds of both sides meet in an equi-join
+on their hash; every hit is verified word by word, and hits along one alignment
+are put together to the stretch that leaked (``stretches``).
 
-Corpus seeds first pass a bitmap of the held-out seeds.  Its size is fixed,
-whatever the two tables' sizes; it only keeps rows from the shuffle that have
+Corpus seeds first pass a bitmap of the held-out seeds, of 32 bits or more for
+each of them up to 32 MB in all; it only keeps rows from the shuffle that have
 no partner, and never loses one.
 """
 
@@ -20,14 +21,14 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwell.session import spread
+from inkwell.session import cut_lineage, spread
 
 SPAN = 12
 MASKS = tuple(tuple(p for p in range(SPAN) if p % 3 != ignored) for ignored in range(3))
-BITMAP_BITS = 24
+FEWEST_BITS, MOST_BITS = 20, 28  # of the bitmap: powers of two
 
 _WORD = re.compile(r"[^\W_]+")
 _MIX = (np.arange(1, SPAN + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -75,10 +76,11 @@ def _inside(bounds: np.ndarray, windows: int) -> np.ndarray:
 
 
 def _seed_batches(
-    batches: Iterator[pa.RecordBatch], n_keys: int, context: int, bitmap: np.ndarray | None
+    batches: Iterator[pa.RecordBatch], n_keys: int, masks: tuple[tuple[int, ...], ...], bitmap: np.ndarray | None
 ) -> Iterator[pa.RecordBatch]:
     """Seeds of batches of key columns and a text; with a bitmap, only those it holds."""
     memo = _Hashes()
+    shift = np.uint64(0 if bitmap is None else 64 - (len(bitmap) * 8).bit_length() + 1)
     for batch in batches:
         for start in range(0, batch.num_rows, 500):
             part = batch.slice(start, 500)
@@ -87,30 +89,21 @@ def _seed_batches(
             if windows <= 0:
                 continue
             inside = _inside(bounds, windows)
-            at, masks, seeds = [], [], []
-            for number, mask in enumerate(MASKS):
+            at, numbers, seeds = [], [], []
+            for number, mask in enumerate(masks):
                 hashes = seed_hashes(flat, mask, number)
                 keep = inside
                 if bitmap is not None:
-                    bit = hashes >> np.uint64(64 - BITMAP_BITS)
+                    bit = hashes >> shift
                     keep = inside & ((bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
                 where = np.flatnonzero(keep)
                 at.append(where)
-                masks.append(np.full(len(where), number, dtype=np.int32))
+                numbers.append(np.full(len(where), number, dtype=np.int32))
                 seeds.append(hashes[where])
-            where, mask, seed = np.concatenate(at), np.concatenate(masks), np.concatenate(seeds)
+            where, mask, seed = np.concatenate(at), np.concatenate(numbers), np.concatenate(seeds)
             owner = np.searchsorted(bounds, where, side="right") - 1
-            # The words from ``context`` before the window to ``context`` after it, 0 beyond the text's ends.
-            if context >= 0:
-                index = where[:, None] + np.arange(-context, SPAN + context)[None, :]
-                known = (index >= bounds[owner][:, None]) & (index < bounds[owner + 1][:, None])
-                words = np.where(known, flat[np.clip(index, 0, len(flat) - 1)], 0).astype(np.uint64).view(np.int64)
-                width = SPAN + 2 * context
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.arange(0, len(where) * width + 1, width, dtype=np.int32)), pa.array(words.ravel())
-                )
-            else:
-                lists = pa.nulls(len(where), pa.list_(pa.int64()))
+            words = flat[where[:, None] + np.arange(SPAN)[None, :]].view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(where) * SPAN + 1, SPAN, dtype=np.int32)), pa.array(words.ravel()))
             yield pa.RecordBatch.from_arrays(
                 [
                     *(part.column(k).take(pa.array(owner)) for k in range(n_keys)),
@@ -123,30 +116,32 @@ def _seed_batches(
             )
 
 
-def seeds_of(df: DataFrame, keys: list[str], text: str, context: int, bitmap: np.ndarray | None = None) -> DataFrame:
+def seeds_of(df: DataFrame, keys: list[str], text: str, masks: tuple[tuple[int, ...], ...] = MASKS, bitmap: np.ndarray | None = None) -> DataFrame:
     """``(keys, at, mask, seed, words)``: one row for each window and mask."""
     n_keys = len(keys)
     typed = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
-    shared = None if bitmap is None else df.sparkSession.sparkContext.broadcast(bitmap)  # 2 MB, whatever the data
+    shared = None if bitmap is None else df.sparkSession.sparkContext.broadcast(bitmap)  # 32 MB at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _seed_batches(batches, n_keys, context, None if shared is None else shared.value)
+        yield from _seed_batches(batches, n_keys, masks, None if shared is None else shared.value)
 
     return df.select(*keys, text).mapInArrow(run, f"{typed}, at int, mask int, seed bigint, words array<bigint>")
 
 
 def seed_bitmap(seeds: DataFrame) -> np.ndarray:
-    """The bitmap of all seeds; each task hands the driver one of fixed size, and there are at most 8."""
+    """The bitmap of all seeds, by their number; each task hands the driver one, and there are at most 8."""
+    count = seeds.count()
+    power = int(np.clip((32 * max(count, 1) - 1).bit_length(), FEWEST_BITS, MOST_BITS))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << (BITMAP_BITS - 3), dtype=np.uint8)
+        bits = np.zeros(1 << (power - 3), dtype=np.uint8)
         for batch in batches:
-            bit = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
+            bit = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - power)
             np.bitwise_or.at(bits, (bit >> np.uint64(3)).astype(np.int64), np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
         yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], names=["bits"])
 
     rows = seeds.select("seed").coalesce(8).mapInArrow(fold, "bits binary").collect()
-    empty = np.zeros(1 << (BITMAP_BITS - 3), dtype=np.uint8)
+    empty = np.zeros(1 << (power - 3), dtype=np.uint8)
     return reduce(np.bitwise_or, (np.frombuffer(bytes(r.bits), dtype=np.uint8) for r in rows), empty)
 
 
@@ -173,9 +168,10 @@ def find_leaks(
         F.col(item).alias("__item"),
         F.explode(F.array(*[F.struct(F.lit(f).alias("name"), F.col(f).alias("body")) for f in fields])).alias("f"),
     ).select("__item", F.col("f.name").alias("__field"), F.col("f.body").alias("__body"))
-    item_seeds = seeds_of(items, ["__item", "__field"], "__body", 0)
+    masks = MASKS if substitutions else MASKS[:1]
+    item_seeds = cut_lineage(seeds_of(items, ["__item", "__field"], "__body", masks))
     bitmap = seed_bitmap(item_seeds)
-    found = seeds_of(spread(corpus.select(key, text), key), [key], text, 0, bitmap)
+    found = seeds_of(spread(corpus.select(key, text), key), [key], text, masks, bitmap)
     hits = found.alias("c").join(item_seeds.alias("h"), ["seed", "mask"])
     differing = F.size(F.filter(F.zip_with("c.words", "h.words", lambda a, b: a != b), lambda x: x))
     return (
@@ -194,10 +190,20 @@ def find_leaks(
     )
 
 
+def stretches(windows: DataFrame, key: str = "doc_id", item: str = "item_id") -> DataFrame:
+    """``(key, item, field, at, item_at, words)``: windows of one alignment that touch or overlap, put together, with their length in words.
+
+    A window function's group is one alignment of a document with an item.
+    """
+    aligned = Window.partitionBy(key, item, "field", "shift").orderBy("at")
+    rows = windows.select(key, item, "field", "at", "item_at").distinct().withColumn("shift", F.col("at") - F.col("item_at"))
+    begins = F.coalesce(F.col("at") - F.lag("at").over(aligned) > SPAN, F.lit(True))
+    rows = rows.withColumn("stretch", F.sum(begins.cast("int")).over(aligned.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.groupBy(key, item, "field", "shift", "stretch").agg(
+        F.min("at").alias("at"), F.min("item_at").alias("item_at"), (F.max("at") - F.min("at") + SPAN).alias("words")
+    ).drop("shift", "stretch")
+
+
 def leaked_items(windows: DataFrame, key: str = "doc_id", item: str = "item_id") -> DataFrame:
-    """One row for each document and item: windows, first place, and the words of the item's field that leaked at most."""
-    return windows.groupBy(key, item).agg(
-        F.count("*").alias("windows"),
-        F.min("at").alias("first_at"),
-        F.min("substituted").alias("least_substituted"),
-    )
+    """``(key, item, words)``: one row for each document and item, with the words of the longest stretch that leaked."""
+    return stretches(windows, key, item).groupBy(key, item).agg(F.max("words").alias("words"))

@@ -1,7 +1,8 @@
 """Cutting oversized texts at natural boundaries, by pointer doubling.
 
-For every boundary of a text the farthest legal next cut is computed at once
-(the overlap included); that is a successor table.  Squaring the table doubles
+For every boundary of a text - headings, paragraphs, sentences, words, and the
+places a stride apart inside unbroken stretches - the farthest legal next cut
+is computed at once (the overlap included); that is a successor table.  Squaring the table doubles
 the number of cuts that one look-up spans, so that all greedy cuts of a text
 are marked in a logarithmic number of rounds, however many there are.
 """
@@ -82,18 +83,28 @@ def successors(ends: np.ndarray, kinds: list[np.ndarray], n: int, limit: int, ov
     return np.where(high >= n, n, after)
 
 
+def _strides(places: np.ndarray, marks: np.ndarray, step: int) -> np.ndarray:
+    """The places, and all a step apart after each up to the next mark."""
+    counts = (marks[np.searchsorted(marks, places)] - places) // step + 1
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.unique(np.repeat(places, counts) + nth * step)
+
+
 def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int]]:
     """``(start, end)`` of every piece of a text."""
     n = len(text)
     if n <= limit:
         return [(0, n)]
     kinds = boundaries(text)
-    nodes = np.union1d(np.array([0, n], dtype=np.int64), kinds[2])
+    # Every place where a piece may begin is a node.
+    nodes = np.union1d(np.array([0, n], dtype=np.int64), kinds[3])
     table = successors(nodes, kinds, n, limit, overlap)
-    while True:  # words and places inside unbroken stretches that some cut falls on
+    while True:
         new = np.setdiff1d(table, nodes)
         if not len(new):
             break
+        # Cuts inside an unbroken stretch: from each there, all further ones up to the stretch's end are known.
+        new = np.setdiff1d(_strides(new, np.append(kinds[3], n), limit - overlap), nodes)
         both = np.concatenate([nodes, new])
         order = np.argsort(both)
         table = np.concatenate([table, successors(new, kinds, n, limit, overlap)])[order]

@@ -40,3 +40,14 @@ def test_table(spark, codec):
     want = {1: codec.plain("liver cells").tolist(), 2: [], 3: [], 4: codec.plain(long).tolist(), 5: codec.plain("liver cells").tolist()}
     assert all(ids == want[k] for k, ids in out)
     assert encode.encode_corpus(df.filter("false")).count() == 0
+
+
+def test_threads_encode_the_parts_of_a_long_text(spark, codec):
+    """One scan: a giant text is encoded in its own row, by threads, to the same ids."""
+    text = ("liver cells and 中文字 " * 60_000) + "ab" * 100_000
+    assert len(text) > encode.THREADED_CHARS
+    want = codec.plain(text).tolist()
+    assert codec.encode(text).tolist() == want
+    df = spark.createDataFrame([(1, text), (2, "x")], "doc_id bigint, text string")
+    plan = encode.encode_corpus(df)
+    assert {r.doc_id: r.ids for r in plan.collect()} == {1: want, 2: codec.plain("x").tolist()}

@@ -58,6 +58,26 @@ def test_substitutions(spark):
         leaks.find_leaks(corpus, held, substitutions=5)
 
 
+def test_stretches(spark, rows_of):
+    """Hits of one alignment are one stretch over a substituted word; another place is another one."""
+    rng = random.Random(8)
+    base = words(rng, 30)
+    changed = [*base[:15], "other", *base[16:]]
+    held = spark.createDataFrame([(1, " ".join(base), None)], "item_id bigint, question string, answer string")
+    corpus = spark.createDataFrame([(1, " ".join(["x", *changed, "y", *base[:12]])), (2, " ".join(base[3:17])), (2, " ".join(base[3:17])), (3, " ".join(changed[10:21]))], "doc_id bigint, text string")
+    windows = leaks.find_leaks(corpus, held, substitutions=1)
+    found = [(r.doc_id, r.at, r.item_at, r.words) for r in leaks.stretches(windows).orderBy("doc_id", "at").collect()]
+    assert found == [(1, 1, 0, 30), (1, 32, 0, 12), (2, 0, 3, 14)]
+    assert rows_of(leaks.leaked_items(windows)) == [(1, 1, 30), (2, 1, 14)]
+
+
+def test_bitmap_grows_with_the_seeds(spark):
+    few = spark.createDataFrame([(i * 7_919,) for i in range(100)], "seed bigint")
+    many = spark.range(200_000).selectExpr("xxhash64(id) as seed")
+    assert len(leaks.seed_bitmap(few)) * 8 == 1 << leaks.FEWEST_BITS
+    assert len(leaks.seed_bitmap(many)) * 8 == 1 << 23
+
+
 def test_empty_sides(spark):
     held = spark.createDataFrame([(1, "a " * 20, None)], "item_id bigint, question string, answer string")
     corpus = spark.createDataFrame([(1, "a " * 40)], "doc_id bigint, text string")

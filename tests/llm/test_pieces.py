@@ -55,3 +55,13 @@ def test_very_long_text(spark):
     found = pieces.cuts(text)
     assert "".join(text[max(s, p):e] for (s, e), p in zip(found, [0, *[e for _, e in found]])) == text
     assert max(e - s for s, e in found) <= pieces.LIMIT
+
+
+@pytest.mark.parametrize("text", ["word and more words then " * 40_000, "x" * 1_000_000, "Some words. " * 80_000, ("ab " * 3_000 + "y" * 90_000) * 8])
+def test_all_cuts_in_few_rounds(text, monkeypatch):
+    """Successors are computed for all starts at once, whatever the text is made of; not cut after cut."""
+    calls = []
+    whole = pieces.successors
+    monkeypatch.setattr(pieces, "successors", lambda *a: calls.append(1) or whole(*a))
+    found = pieces.cuts(text)
+    assert len(found) >= 100 and len(calls) <= 4
