@@ -26,16 +26,18 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.llm import vectors
+from inkwell.operators.cells import unit
 from inkwell.session import cut_lineage
 
 VECTORS = 4
 STEPS = 16
 STEPS_A_JOB = 8
 GRID = 1e-3
+SIDE = 8  # cells of the look-up, in grids
 BLOCK = 2_048
 EXEMPLARS = 8_192
 NEAREST = 64
@@ -62,37 +64,50 @@ def embed(links: DataFrame, steps: int = STEPS) -> DataFrame:
 def k_means(points: DataFrame, grid: float = GRID, rounds: int = 2) -> DataFrame:
     """``(rep, cluster)``: the embedding's points by their nearest centre, where no centre has another one within the grid.
 
-    Centres are looked up by the cells of the first two values, the own cell
-    and those beside it, so that no task sees all of them.
+    Centres are looked up by cells of all four values, ``SIDE`` grids wide: a
+    centre is in its own cell, and a point looks into those that lie within
+    the grid of it, about two and a half on average.
     """
     names = [f"v{i}" for i in range(VECTORS)]
+    side = SIDE * grid
 
-    def cell(i: int):
-        return F.floor(F.col(f"v{i}") / grid)
+    def own(v: str) -> Column:
+        return F.floor(F.col(v) / side)
 
-    def beside(df: DataFrame) -> DataFrame:
-        for i in (0, 1):
-            df = df.withColumn(f"c{i}", F.explode(F.array(*[cell(i) + d for d in (-1, 0, 1)])))
-        return df
+    def key(cells: list[Column]) -> Column:
+        return F.xxhash64(*cells)
+
+    def crossed(keys: Column, cells: Column) -> Column:
+        return F.flatten(F.transform(keys, lambda k: F.transform(cells, lambda c: F.array_append(k, c))))
+
+    def near(df: DataFrame) -> DataFrame:
+        """Every row once for each cell within the grid of it."""
+        keys = F.array(F.array().cast("array<bigint>"))
+        for v in names:
+            inside = F.col(v) - own(v) * side
+            cells = F.when(inside < grid, F.array(own(v), own(v) - 1)).when(inside > side - grid, F.array(own(v), own(v) + 1)).otherwise(F.array(own(v)))
+            keys = crossed(keys, cells)
+        return df.withColumn("at", F.explode(F.transform(keys, lambda k: key([k[i] for i in range(VECTORS)]))))
 
     apart = reduce(lambda a, b: a + b, [(F.col(f"p.{v}") - F.col(f"q.{v}")) ** 2 for v in names])
-    seeded = points.withColumn("seed", F.concat_ws(",", *[cell(i) for i in range(VECTORS)]))
+    seeded = points.withColumn("seed", F.xxhash64(*[F.floor(F.col(v) / grid) for v in names]))
     centres = seeded.groupBy("seed").agg(F.min("rep").alias("cluster"), *[F.avg(v).alias(v) for v in names]).drop("seed")
     assigned = None
     for _ in range(rounds):
-        stored = centres.withColumn("c0", cell(0)).withColumn("c1", cell(1))
+        centres = cut_lineage(centres)
+        stored = centres.withColumn("at", key([own(v) for v in names]))
         # Of centres within the grid of one another only the first stays.
         covered = (
-            beside(centres).alias("p").join(stored.alias("q"), ["c0", "c1"])
+            near(centres).alias("p").join(stored.alias("q"), "at")
             .filter((F.col("q.cluster") < F.col("p.cluster")) & (apart <= grid * grid))
             .select(F.col("p.cluster").alias("cluster")).distinct()
         )
         stored = stored.join(covered, "cluster", "left_anti")
-        near = (
-            beside(points).alias("p").join(stored.alias("q"), ["c0", "c1"])
+        seen = (
+            near(points).alias("p").join(stored.alias("q"), "at")
             .select(F.col("p.rep").alias("rep"), *[F.col(f"p.{v}").alias(v) for v in names], apart.alias("apart"), "q.cluster")
         )
-        assigned = cut_lineage(near.groupBy("rep", *names).agg(F.min_by("cluster", F.struct("apart", "cluster")).alias("cluster")))
+        assigned = cut_lineage(seen.groupBy("rep", *names).agg(F.min_by("cluster", F.struct("apart", "cluster")).alias("cluster")))
         centres = assigned.groupBy("cluster").agg(*[F.avg(v).alias(v) for v in names])
     alone = points.select("rep").join(assigned.select("rep"), "rep", "left_anti").select("rep", F.col("rep").alias("cluster"))
     return assigned.select("rep", "cluster").unionByName(alone)
@@ -107,7 +122,7 @@ def around_mean(assigned: DataFrame, classes: DataFrame, least: float) -> DataFr
     """
 
     def add_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _sums((b.column(0).to_pylist(), np.ones(b.num_rows), vectors.unit(b.column(1).to_pylist())) for b in batches if b.num_rows)
+        yield from _sums((b.column(0).to_pylist(), np.ones(b.num_rows), unit(b.column(1).to_pylist())) for b in batches if b.num_rows)
 
     def add_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _sums((b.column(0).to_pylist(), b.column(1).to_numpy(), np.stack([np.frombuffer(x) for x in b.column(2).to_pylist()])) for b in batches if b.num_rows)
@@ -119,7 +134,7 @@ def around_mean(assigned: DataFrame, classes: DataFrame, least: float) -> DataFr
 
     @F.pandas_udf("double")
     def along(vec: pd.Series, total: pd.Series) -> pd.Series:
-        return pd.Series(np.einsum("nd,nd->n", vectors.unit(list(vec)), np.stack([np.frombuffer(t) for t in total])))
+        return pd.Series(np.einsum("nd,nd->n", unit(list(vec)), np.stack([np.frombuffer(t) for t in total])))
 
     @F.pandas_udf("double")
     def length(total: pd.Series) -> pd.Series:
@@ -175,7 +190,7 @@ def affinities(assigned: DataFrame, classes: DataFrame, least: float) -> DataFra
         a, b = frame[frame["asks"]], frame[~frame["asks"]]
         if not len(a) or not len(b):
             return pd.DataFrame({"cluster": [], "rep": [], "partners": [], "total": []})
-        cosines = vectors.unit(list(a["vec"])) @ vectors.unit(list(b["vec"])).T
+        cosines = unit(list(a["vec"])) @ unit(list(b["vec"])).T
         other = a["rep"].to_numpy()[:, None] != b["rep"].to_numpy()[None, :]
         return pd.DataFrame(
             {
@@ -212,7 +227,7 @@ def divide(failing: DataFrame, classes: DataFrame, least: float) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def reaches(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(np.einsum("nd,nd->n", vectors.unit(list(a)), vectors.unit(list(b))) >= least)
+        return pd.Series(np.einsum("nd,nd->n", unit(list(a)), unit(list(b))) >= least)
 
     stays = F.when(F.col("all"), F.col("rep") != F.col("weakest")).otherwise((F.col("rep") == F.col("seed")) | reaches("vec", "seed_vec"))
     sides = cut_lineage(rows.select("cluster", "rep", stays.alias("stays")))
@@ -240,7 +255,7 @@ def exemplar_pairs(exemplars: DataFrame, least: float) -> DataFrame:
         a, b = frame[frame["asks"]], frame[~frame["asks"]]
         found = [np.zeros((0, 2), dtype=np.int64)]
         if len(a) and len(b):
-            x, y = vectors.unit(list(a["vec"])), vectors.unit(list(b["vec"]))
+            x, y = unit(list(a["vec"])), unit(list(b["vec"]))
             mine, others = a["rep"].to_numpy(), b["rep"].to_numpy()
             inner = frame["own"].iloc[0] == frame["their"].iloc[0]
             for start in range(0, len(x), 512):
@@ -341,7 +356,7 @@ def join_parts(good: DataFrame, classes: DataFrame, least: float) -> DataFrame:
 
 
 def similarity_clusters(
-    rows: DataFrame, key: str = "row_id", vector: str = "embed", dims: int = 128, least: float = 0.75, smallest: int = 3, rounds: int = 200
+    rows: DataFrame, key: str = "row_id", vector: str = "embed", dims: int = 128, least: float = 0.75, smallest: int = 3
 ) -> DataFrame:
     """``(cluster_id, key, size, typical, affinity)``: clusters of at least ``smallest`` rows of which every two reach the cosine ``least``.
 
@@ -359,7 +374,7 @@ def similarity_clusters(
     points = embed(both.unionByName(linked.select("rep", F.col("rep").alias("other"), F.lit(1.0).alias("weight"))))
     assigned = cut_lineage(k_means(points))
     good = None
-    for _ in range(rounds):
+    while True:  # each division makes a failing cluster smaller
         scored = score(assigned, classes, least)
         failed = scored.filter(F.col("partners") < F.col("others")).select("cluster").distinct()
         passed = scored.join(failed, "cluster", "left_anti").select("cluster", "rep", "affinity", "others")
@@ -368,8 +383,6 @@ def similarity_clusters(
         if failed.isEmpty():
             break
         assigned = divide(failing, classes, least)
-    else:
-        raise RuntimeError("clusters did not settle; raise the number of rounds")
     placed = members.join(join_parts(good, classes, least), "rep").select("rep", key, "cluster", "affinity")
     sizes = placed.groupBy("cluster").agg(F.count("*").alias("size"), F.min(key).alias("cluster_id")).filter(F.col("size") >= smallest)
     ranked = placed.join(sizes, "cluster")

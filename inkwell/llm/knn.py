@@ -17,13 +17,13 @@ def nearest_rows(rows: DataFrame, key: str = "row_id", vector: str = "embed", di
     vector counts once.  Other columns are dropped; an empty table gives an
     empty result.  With fewer than ``k`` other rows there are fewer neighbours.
     """
-    if not 1 <= k < vectors.KEPT_COPIES:
-        raise ValueError(f"k must be below {vectors.KEPT_COPIES}")
-    classes, members = vectors.vector_classes(rows, key, vector, dims)
-    near = vectors.nearest(classes, dims, k, probes, rerank)
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    classes, members = vectors.vector_classes(rows, key, vector, dims, k + 1)
+    near = vectors.nearest(classes, dims, k, probes, max(rerank, 4 * k))
     ids = classes.select(F.col("rep").alias("other"), "ids")
     own = classes.select("rep", F.col("rep").alias("other"), F.lit(1.0).alias("cosine"))
-    # At most k + 1 classes of KEPT_COPIES rows each.
+    # At most k + 1 classes of k + 1 rows each.
     listed = (
         near.unionByName(own)
         .join(ids, "other")

@@ -5,8 +5,9 @@ vector more than the rest, since that part is what changes large inner
 products.  Codes are four bits for each ``SUB`` dimensions.  A scan adds up
 look-up tables over the codes of a cell; the best of a scan are scored exactly.
 
-Cells and code books are fitted on a bounded sample (``SAMPLE`` rows); every
-row is indexed and every row is a query.  Cells of any size are cut into blocks
+Cells (``operators.cells``: two levels, so that their number grows with the
+table up to 65,536) and code books are fitted on bounded samples; every row is
+indexed and every row is a query.  Cells of any size are cut into blocks
 on both sides, so that no task holds more than ``BLOCK`` rows and ``QUERIES``
 queries.  Equal vectors are one entry of the index.
 """
@@ -22,17 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.operators.cells import SAMPLE, Cells, fit_cells, sample, unit
 from inkwell.session import cut_lineage, spread
 
-SAMPLE = 16_384
 CODE_SAMPLE = 4_096
-MOST_CELLS = 4_096
 SUB = 2
 BLOCK = 4_096
 QUERIES = 4_096
 SCANNED = 256
 PARALLEL_WEIGHT = 5.3  # (d - 1) t^2 / (1 - t^2) for d = 128 and a threshold t of 0.2
-KEPT_COPIES = 6
+KEPT_COPIES = 6  # keys of equal vectors that a class names, one more than the neighbours asked for
 
 
 def usable(vector: str, dims: int):
@@ -42,10 +42,10 @@ def usable(vector: str, dims: int):
     return F.coalesce(v.isNotNull() & (F.size(v) == dims) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def vector_classes(rows: DataFrame, key: str, vector: str, dims: int) -> tuple[DataFrame, DataFrame]:
+def vector_classes(rows: DataFrame, key: str, vector: str, dims: int, kept: int = KEPT_COPIES) -> tuple[DataFrame, DataFrame]:
     """Usable vectors, equal ones as one: ``(rep, ids, vec binary)`` and the membership ``(rep, key)``.
 
-    ``ids`` are the smallest ``KEPT_COPIES`` keys of a class, ``rep`` the first
+    ``ids`` are the smallest ``kept`` keys of a class, ``rep`` the first
     of them.  A class is cut to those before it is shuffled.
     """
     picked = rows.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<float>").alias("v")).filter(usable("v", dims))
@@ -53,8 +53,8 @@ def vector_classes(rows: DataFrame, key: str, vector: str, dims: int) -> tuple[D
     picked = picked.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0).cast("float")))
     marked = picked.select("id", "v", F.xxhash64("v").alias("h"), F.xxhash64(F.lit(1), F.col("v")).alias("g"))
     first = Window.partitionBy("h", "g").orderBy("id")
-    kept = marked.dropDuplicates(["h", "g", "id"]).withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= KEPT_COPIES)
-    classes = kept.groupBy("h", "g").agg(
+    some = marked.dropDuplicates(["h", "g", "id"]).withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= kept)
+    classes = some.groupBy("h", "g").agg(
         F.min("id").alias("rep"), F.array_sort(F.collect_list("id")).alias("ids"), F.max(F.when(F.col("nth") == 1, F.col("v"))).alias("v")
     )
     packed = classes.mapInArrow(_packer(), "h bigint, g bigint, rep bigint, ids array<bigint>, vec binary")
@@ -77,27 +77,17 @@ def _packer():
     return run
 
 
-def unit(raw) -> np.ndarray:
-    """Packed vectors as rows of unit length."""
-    x = np.frombuffer(b"".join(raw), dtype=np.float32).reshape(len(raw), -1).astype(np.float64)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
-
-
 @dataclass
 class Index:
-    """Cell centres, the size of each cell's residuals, and the code books of residuals of size one (16 words for each ``SUB`` dimensions)."""
+    """Cells, the size of each cell's residuals, and the code books of residuals of size one (16 words for each ``SUB`` dimensions)."""
 
-    centres: np.ndarray
+    cells: Cells
     scales: np.ndarray
     books: np.ndarray
 
-    def cells(self, x: np.ndarray, probes: int) -> np.ndarray:
-        """The nearest cells of each row, best first."""
-        scores = x @ self.centres.T
-        probes = min(probes, scores.shape[1])
-        best = np.argpartition(-scores, probes - 1, axis=1)[:, :probes]
-        order = np.argsort(-np.take_along_axis(scores, best, 1), axis=1, kind="stable")
-        return np.take_along_axis(best, order, 1)
+    @property
+    def centres(self) -> np.ndarray:
+        return self.cells.centres
 
     def encode(self, x: np.ndarray, cell: np.ndarray) -> np.ndarray:
         return assign_codes((x - self.centres[cell]) / self.scales[cell][:, None], x, self.books)
@@ -110,19 +100,6 @@ class Index:
         return (single[0::2][:, :, None, :] + single[1::2][:, None, :, :]).reshape(subs // 2, 256, len(q))
 
 
-def fit_cells(x: np.ndarray, count: int, rounds: int = 8) -> np.ndarray:
-    """Spherical k-means, started from evenly spread rows."""
-    count = min(count, len(x))
-    centres = x[np.linspace(0, len(x) - 1, count).astype(int)].copy()
-    for _ in range(rounds):
-        nearest = (x @ centres.T).argmax(axis=1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, nearest, x)
-        lengths = np.linalg.norm(sums, axis=1, keepdims=True)
-        centres = np.where(lengths > 1e-9, sums / np.maximum(lengths, 1e-9), centres)
-    return centres
-
-
 def assign_codes(residual: np.ndarray, direction: np.ndarray, books: np.ndarray, rounds: int = 2) -> np.ndarray:
     """The code words of least anisotropic loss, by descent over the sub-spaces."""
     n, subs = len(residual), len(books)
@@ -168,23 +145,19 @@ def fit_books(residual: np.ndarray, direction: np.ndarray, rounds: int = 6) -> n
 
 
 def fit_index(classes: DataFrame, count: int, dims: int) -> Index:
-    """Cells and code books from at most ``SAMPLE`` rows, those of the smallest hashes."""
-    share = min(1.0, 1.5 * SAMPLE / max(count, 1))
-    order = F.xxhash64(F.lit(7), F.col("rep"))
-    low = -(2**63) + int(share * (2**64 - 1))
-    picked = classes.filter(order <= min(low, 2**63 - 1)).orderBy(order).limit(SAMPLE).select("vec").collect()
-    if not picked:
-        return Index(np.eye(1, dims), np.ones(1), np.zeros((dims // SUB, 16, SUB)))
-    x = unit([bytes(r.vec) for r in picked])
-    centres = fit_cells(x, int(np.clip(round(0.6 * count**0.5), 8, MOST_CELLS)))
-    cell = (x @ centres.T).argmax(axis=1)
-    residual = x - centres[cell]
+    """Cells and code books from bounded samples, the rows of the smallest hashes."""
+    x = sample(classes, "rep", "vec", count, SAMPLE)
+    if not len(x):
+        return Index(Cells(np.eye(1, dims)), np.ones(1), np.zeros((dims // SUB, 16, SUB)))
+    cells = fit_cells(classes, "rep", "vec", count, dims, x)
+    cell = cells.nearest(x, 1)[:, 0]
+    residual = x - cells.centres[cell]
     lengths = np.linalg.norm(residual, axis=1)
     # A dense cell gets code words as fine as its rows lie close; a cell of few rows leans on the others.
-    total = np.bincount(cell, weights=lengths, minlength=len(centres)) + lengths.mean()
-    scales = np.maximum(total / (np.bincount(cell, minlength=len(centres)) + 1), 1e-6)
+    total = np.bincount(cell, weights=lengths, minlength=len(cells.centres)) + lengths.mean()
+    scales = np.maximum(total / (np.bincount(cell, minlength=len(cells.centres)) + 1), 1e-6)
     part = slice(0, CODE_SAMPLE)
-    return Index(centres, scales, fit_books(residual[part] / scales[cell[part]][:, None], x[part]))
+    return Index(cells, scales, fit_books(residual[part] / scales[cell[part]][:, None], x[part]))
 
 
 def scan(index: Index, cell: int, q: np.ndarray, x: np.ndarray, codes: np.ndarray, best: int, least: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,14 +204,14 @@ def nearest(classes: DataFrame, dims: int, k: int, probes: int = 8, rerank: int
     spark = classes.sparkSession
     count = classes.count()
     index = fit_index(classes, count, dims)
-    shared = spark.sparkContext.broadcast(index)  # at most MOST_CELLS centres and one book
+    shared = spark.sparkContext.broadcast(index)  # at most 65,536 centres and one book
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 2_000):
                 part = batch.slice(start, 2_000)
                 x = unit(part.column(1).to_pylist())
-                cells = shared.value.cells(x, probes)
+                cells = shared.value.cells.nearest(x, probes)
                 codes = shared.value.encode(x, cells[:, 0])
                 width = cells.shape[1]
                 yield pa.RecordBatch.from_arrays(
@@ -256,13 +229,14 @@ def nearest(classes: DataFrame, dims: int, k: int, probes: int = 8, rerank: int
     placed = cut_lineage(
         spread(classes.select("rep", "vec"), "rep").mapInArrow(place, "rep bigint, vec binary, codes binary, cells array<int>")
     )
-    # Of each cell, how many rows it holds and how many queries probe it: at most MOST_CELLS rows.
+    # Of each cell, how many rows it holds and how many queries probe it: at most as many rows as there are cells.
+    placed = placed.withColumn("cells", F.array_distinct("cells"))
     probed = placed.select(F.posexplode("cells").alias("nth", "cell"))
     sizes = probed.groupBy("cell").agg(
         F.ceil(F.count(F.when(F.col("nth") == 0, 1)) / BLOCK).cast("int").alias("blocks"),
         F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"),
     ).filter(F.col("blocks") > 0)
-    sizes = F.broadcast(cut_lineage(sizes))
+    sizes = F.broadcast(cut_lineage(sizes))  # two numbers for each of at most 65,536 cells
     spot = F.xxhash64(F.lit(3), F.col("rep"))
     stored = (
         placed.withColumn("cell", F.col("cells")[0])

@@ -58,8 +58,23 @@ def test_copies_and_ties(spark, rows_of):
     few = knn.nearest_rows(table(spark, x[:2]), dims=DIMS)
     assert rows_of(few.select("row_id", "rank", "neighbour")) == [(0, 1, 1), (1, 1, 0)]
     assert knn.nearest_rows(table(spark, x).filter("false"), dims=DIMS).count() == 0
+    many = knn.nearest_rows(table(spark, rows), dims=DIMS, k=20)
+    assert [r.neighbour for r in many.filter("row_id = 3").orderBy("rank").collect()] == [i for i in range(21) if i != 3]
     with pytest.raises(ValueError):
-        knn.nearest_rows(table(spark, x), dims=DIMS, k=9)
+        knn.nearest_rows(table(spark, x), dims=DIMS, k=0)
+
+
+def test_more_neighbours_and_two_levels(spark, data, monkeypatch):
+    """Any number of neighbours; and with a second level of cells, as large tables have, the recall holds."""
+    from inkwell.operators import cells
+
+    sims = brute(data)
+    for k, coarse in ((12, 10_000), (5, 6)):
+        monkeypatch.setattr(cells, "COARSE", coarse)
+        got = {(r.row_id, r.neighbour) for r in knn.nearest_rows(table(spark, data), dims=DIMS, k=k).collect()}
+        top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+        want = {(i, int(j)) for i in range(len(data)) for j in top[i]}
+        assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
 
 
 def test_small_blocks(spark, data, monkeypatch):
