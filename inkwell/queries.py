@@ -397,6 +397,68 @@ def xml_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.status_counts(marked)
 
 
+_SHAPES = (
+    '<?xml version="1.0"?><!DOCTYPE article PUBLIC "x" "y.dtd"><article xmlns="http://jats.nlm.nih.gov" xmlns:ali="http://www.niso.org/schemas/ali/1.0/" xmlns:xlink="http://www.w3.org/1999/xlink" article-type="Research-Article">'
+    '<front><article-meta><article-id pub-id-type="pmc">PMC{key}</article-id><title-group><article-title>On <italic>{name}</italic>, again</article-title></title-group>'
+    '<contrib-group><contrib contrib-type="author"><name><surname>Bell</surname></name></contrib><contrib contrib-type="author"><name><surname>Ray</surname><given-names>C D</given-names></name></contrib>'
+    '<contrib contrib-type="editor"><name><surname>Ito</surname><given-names>E</given-names></name></contrib></contrib-group><contrib-group><contrib contrib-type="author"><name><surname>Orr</surname><given-names>F</given-names></name></contrib></contrib-group>'
+    '<pub-date pub-type="ppub"><year>1999</year></pub-date><pub-date pub-type="epub"><year>2001</year><month>May</month><day>7</day></pub-date>'
+    '<permissions>{licence}</permissions><abstract><p>Short word on {name}.</p><sec><title>Aim</title><p>To see. To know.</p></sec></abstract></article-meta></front>'
+    '<body><p> </p><p>Open words.</p><sec><title>Methods</title><!-- note --><sec><title>Design</title><p>A design.</p></sec><sec><p>Untitled part.</p></sec><fig><label>Figure 2</label></fig><fig><label>Figure 3</label><caption><p>A {name} curve</p></caption></fig>'
+    '<table-wrap><label>Table 1</label><table><tr><th>old</th></tr><tr><td>1</td></tr></table></table-wrap>'
+    '<table-wrap><label>Table 2</label><caption>Both</caption><table><tr><th colspan="2">a</th><th>b</th></tr><tr><td rowspan="2">{name}</td><td>1</td><td>2</td></tr><tr><td>3</td><td>4</td></tr><tr><td/><td/><td/></tr></table></table-wrap>'
+    '<table-wrap><table><tr><th>c</th><th/></tr><tr><td>5</td><td>6</td></tr></table></table-wrap>'
+    '<table-wrap><label>Table 1</label><table><tr><th>new</th><th>none</th></tr><tr><td>{key}</td><td> </td></tr></table></table-wrap></sec></body>'
+    '<back><ref-list><ref><element-citation><name><surname>Lin</surname></name><name><surname>Poe</surname></name><article-title>First</article-title><fpage>7</fpage><lpage>9</lpage><pub-id pub-id-type="doi">10.1/{key}</pub-id></element-citation></ref>'
+    '<ref><mixed-citation>A   whole {name} text, 1987.</mixed-citation></ref><ref><element-citation><name><surname>Bo</surname><given-names>G</given-names></name><year>2003</year><source>J</source><volume>4</volume><fpage>11</fpage></element-citation></ref></ref-list></back></article>'
+)
+_LICENCES = (
+    '<license xlink:href="https://creativecommons.org/licenses/by/4.0/"/>', '<license><ali:license_ref>https://creativecommons.org/licenses/by-nc/4.0/</ali:license_ref></license>',
+    '<ali:license_ref>http://creativecommons.org/publicdomain/zero/1.0/</ali:license_ref>', '<license><license-p>See <ext-link xlink:href="https://creativecommons.org/licenses/by-nd/3.0/">it</ext-link></license-p></license>',
+    '<license-p>Open: <uri xlink:href="https://creativecommons.org/licenses/by/2.0/">by</uri></license-p>', "",
+)
+
+
+def _shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(s_suppkey, doc)``: an article of every branch of the parser for each supplier, the licence at one of five places or at none."""
+    text = F.lit(_SHAPES)
+    licence = F.element_at(F.array(*map(F.lit, _LICENCES)), F.pmod("s_suppkey", F.lit(len(_LICENCES))).cast("int") + 1)
+    for mark, value in (("{licence}", licence), ("{key}", F.col("s_suppkey").cast("string")), ("{name}", F.col("s_name"))):
+        text = F.replace(text, F.lit(mark), value)
+    return jats.parse_articles(table(spark, sf_dir, "supplier").select("s_suppkey", text.alias("xml")), "xml")
+
+
+@query("""select s_suppkey, 'PMC' || s_suppkey as pmc_id, 'On ' || s_name || ', again' as title, 'C D Ray' as authors, 2001 as year, cast(null as int) as month, 7 as day,
+case s_suppkey % 6 when 0 then 'CC BY 4.0' when 1 then 'CC BY-NC 4.0' when 2 then 'CC0 1.0' when 3 then 'CC BY-ND 3.0' when 4 then 'CC BY 2.0' end as license from supplier""")
+def xml_shapes_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = jats.metadata(_shapes(spark, sf_dir), "s_suppkey")
+    return rows.select("s_suppkey", "pmc_id", "title", F.array_join("authors", "|").alias("authors"), "year", "month", "day", "license")
+
+
+@query("""select s_suppkey, x.pos as pos, x.s as section, x.p as paragraph, x.n as sentence, replace(x.t, '@', s_name) as text from supplier, unnest([
+{'pos': 1, 's': 'Body', 'p': 2, 'n': 1, 't': 'Open words.'}, {'pos': 2, 's': 'Abstract', 'p': 0, 'n': 0, 't': ''}, {'pos': 3, 's': 'Abstract', 'p': 1, 'n': 1, 't': 'Short word on @.'},
+{'pos': 4, 's': 'Abstract; Aim', 'p': 1, 'n': 1, 't': 'To see.'}, {'pos': 4, 's': 'Abstract; Aim', 'p': 1, 'n': 2, 't': 'To know.'}, {'pos': 5, 's': 'Methods', 'p': 0, 'n': 0, 't': '**Figure 3:** *A @ curve*'},
+{'pos': 6, 's': 'Methods', 'p': 0, 'n': 0, 't': 'TABLE_PLACEHOLDER:Table 1'}, {'pos': 7, 's': 'Methods', 'p': 0, 'n': 0, 't': 'TABLE_PLACEHOLDER:Table 2'}, {'pos': 8, 's': 'Methods', 'p': 0, 'n': 0, 't': 'TABLE_PLACEHOLDER:Table 1'},
+{'pos': 9, 's': 'Design', 'p': 1, 'n': 1, 't': 'A design.'}, {'pos': 10, 's': 'Methods', 'p': 1, 'n': 1, 't': 'Untitled part.'}]) as u(x)""")
+def xml_shapes_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jats.text_rows(_shapes(spark, sf_dir), "s_suppkey")
+
+
+@query("""select s_suppkey, x.pos as pos, x.l as label, x.c as caption, x.h as header, replace(replace(x.r, '@', s_name), '^', cast(s_suppkey as varchar)) as cells from supplier, unnest([
+{'pos': 1, 'l': 'Table 1', 'c': null, 'h': 'new', 'r': '^'}, {'pos': 2, 'l': 'Table 2', 'c': 'Both', 'h': 'a|a.1|b', 'r': '@|1|2/@|3|4'}, {'pos': 3, 'l': 'Table 3', 'c': null, 'h': 'c|Unnamed: 1', 'r': '5|6'}]) as u(x)""")
+def xml_shapes_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = jats.table_rows(_shapes(spark, sf_dir), "s_suppkey")
+    cells = F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), "/")
+    return rows.select("s_suppkey", "pos", "label", "caption", F.array_join("header", "|").alias("header"), cells.alias("cells"))
+
+
+@query("""select s_suppkey, x.id as id, replace(x.a, '@', s_name) as authors, x.y as year, x.t as title, x.j as journal, x.v as volume, x.p as pages, x.d || s_suppkey as doi from supplier, unnest([
+{'id': 1, 'a': 'Lin, Poe', 'y': null, 't': 'First', 'j': null, 'v': null, 'p': '7-9', 'd': '10.1/'}, {'id': 2, 'a': 'A whole @ text, 1987.', 'y': null, 't': null, 'j': null, 'v': null, 'p': null, 'd': null},
+{'id': 3, 'a': 'Bo G', 'y': '2003', 't': null, 'j': 'J', 'v': '4', 'p': '11', 'd': null}]) as u(x)""")
+def xml_shapes_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jats.reference_rows(_shapes(spark, sf_dir), "s_suppkey").drop("pmid")
+
+
 @query("""select tag, cast(sum(n) as bigint) as n from (select unnest([{'t': 'ref', 'n': 1}, {'t': 'fig', 'n': 1}, {'t': 'td', 'n': 2}, {'t': 'sec', 'n': 1}]) as x from article_meta) as q, lateral (select x.t as tag, x.n as n) group by tag""")
 def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jats.tag_counts(_article_xml(spark, sf_dir), "xml").filter(F.col("tag").isin("ref", "fig", "td", "sec"))
