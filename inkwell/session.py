@@ -14,6 +14,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Operators of a logical plan that shuffle.
+WIDE = frozenset(
+    "Aggregate CoGroup Deduplicate Distinct Except FlatMapCoGroupsInArrow FlatMapCoGroupsInPandas FlatMapGroupsInArrow FlatMapGroupsInPandas GlobalLimit "
+    "Intersect Join RebalancePartitions Repartition RepartitionByExpression Sort Window".split()
+)
+
+
+def _is_wide(df: DataFrame) -> bool:
+    """Whether any operator of the analysed plan shuffles."""
+    stack = [df._jdf.queryExecution().analyzed()]
+    while stack:
+        plan = stack.pop()
+        if plan.nodeName() in WIDE:
+            return True
+        children = plan.children()
+        stack += [children.apply(i) for i in range(children.size())]
+    return False
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a scan at least as many partitions as there are task slots.
 
@@ -21,7 +40,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     hashed on ``keys`` so that heavy per-row work uses every core.
     """
     # A stream has no partitions yet, and asking a plan that shuffles for its own would run it.
-    if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    if df.isStreaming or _is_wide(df):
         return df
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
