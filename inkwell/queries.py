@@ -254,6 +254,20 @@ def repeat_sub(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.repeat_sub(heads.unionByName(rows), "l_orderkey", "n", ["c0", "c1"])
 
 
+@query("""with h as (select distinct l_orderkey from lineitem),
+t as (select l_orderkey, l_linenumber * 10 + 1 as n, l_returnflag as c0, l_linestatus as c1, case when l_orderkey % 7 = 0 then null when l_orderkey % 3 = 0 then 'Again ' || l_orderkey else 'Order ' || l_orderkey end as subheading from lineitem
+union all select l_orderkey, k, case k when 0 then 'Order ' when 1 then 'Again ' else 'Thrice ' end || l_orderkey, null, null from h, unnest([0, 1, 2]) as u(k) where l_orderkey % 7 = 0)
+select distinct subheading, l_orderkey, n, c0, c1 from t""")
+def repeat_sub_adjacent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two subheadings in a row the second counts; a table with more than one such pair stays as it is."""
+    lines = table(spark, sf_dir, "lineitem")
+    name = F.element_at(F.array(F.lit("Order "), F.lit("Again "), F.lit("Thrice ")), F.col("n") + 1)
+    wanted = F.when(F.col("l_orderkey") % 7 == 0, F.array(F.lit(0), F.lit(1), F.lit(2))).when(F.col("l_orderkey") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    heads = lines.select("l_orderkey").distinct().withColumn("n", F.explode(wanted)).select("l_orderkey", "n", F.concat(name, "l_orderkey").alias("c0"), F.lit(None).cast("string").alias("c1"))
+    rows = lines.select("l_orderkey", (F.col("l_linenumber") * 10 + 1).alias("n"), F.col("l_returnflag").alias("c0"), F.col("l_linestatus").alias("c1"))
+    return reshape.repeat_sub(heads.unionByName(rows), "l_orderkey", "n", ["c0", "c1"]).distinct()
+
+
 @query("""select journal_abbrev as "table", cast(row_number() over (partition by journal_abbrev order by pmc_id, loaded_at) as int) as row, concat_ws('; ', 'title=' || nullif(nullif(title, ''), chr(160)), 'year=' || year, 'journal=' || nullif(nullif(journal, ''), chr(160)), 'license=' || nullif(nullif(license, ''), chr(160))) as text from article_meta
 where coalesce(title, cast(year as varchar), journal, license, '') <> ''""")
 def collapse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -459,6 +473,53 @@ def xml_shapes_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jats.reference_rows(_shapes(spark, sf_dir), "s_suppkey").drop("pmid")
 
 
+@query(r"""select s_suppkey, replace(replace(replace('## Body
+
+Open words.
+
+## Abstract
+
+Short word on @.
+
+### Aim
+
+To see. To know.
+
+## Methods
+
+**Figure 3:** *A @ curve*
+
+~**Table 2**
+
+| a | a.1 | b |
+| --- | --- | --- |
+| @ | 1 | 2 |
+| @ | 3 | 4 |
+
+~Untitled part.
+
+## Design
+
+A design.
+
+## References
+
+1. Lin, Poe. **First**. 7-9. DOI: 10.1/^
+
+2. A whole @ text, 1987.
+
+3. Bo G. *J* (2003) **4** 11', '~', '**Table 1**
+
+| new |
+| --- |
+| ^ |
+
+'), '@', s_name), '^', cast(s_suppkey as varchar)) as markdown from supplier""")
+def xml_shapes_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections in the order of their first mention, figures and tables in place, and the reference list; no front matter."""
+    return to_markdown(_shapes(spark, sf_dir), include_metadata=False).select("s_suppkey", "markdown")
+
+
 @query("""select tag, cast(sum(n) as bigint) as n from (select unnest([{'t': 'ref', 'n': 1}, {'t': 'fig', 'n': 1}, {'t': 'td', 'n': 2}, {'t': 'sec', 'n': 1}]) as x from article_meta) as q, lateral (select x.t as tag, x.n as n) group by tag""")
 def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jats.tag_counts(_article_xml(spark, sf_dir), "xml").filter(F.col("tag").isin("ref", "fig", "td", "sec"))
@@ -542,6 +603,15 @@ def qa_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("journal_abbrev", "response.qa.question", "response.rubric.difficulty")
 
 
+@query("""select item_id, md5('Question: ' || question || chr(10) || 'Answer (' || split || '): ' || answer || '.') as prompt,
+md5('["' || replace(replace(question, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"]') as key from qa_test""")
+def prompt_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts from a template, and the cache key of a list of texts as JSON."""
+    rows = table(spark, sf_dir, "qa_test")
+    prompt = T.fill("Question: {}\nAnswer ({}): {}.", F.col("question"), F.col("split"), F.col("answer"))
+    return rows.select("item_id", F.md5(prompt).alias("prompt"), T.cache_key(F.to_json(F.array("question"))).alias("key"))
+
+
 @query("select item_id, 'no' as correct from qa_test")
 def qa_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stand-in model judged on the held-out pairs."""
