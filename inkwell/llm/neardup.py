@@ -11,9 +11,10 @@ equi-join of the cleared with the plain chunks meets every pair.
 
 A chunk of common words may be shared by ever more records as the table grows.
 The records on a key of more than ``HOT`` index rows are not compared with each
-other: each is indexed again by that key together with its other chunks, of
-which a pair shares one too.  So no comparison is lost, and a record is
-compared with at most ``HOT`` others for each of its keys.
+other: each is indexed again by that key together with its later chunks.  Of
+the two chunks that a pair shares, the earlier one's key is either not crowded,
+or leads to the later one.  So no comparison is lost, and a record is compared
+with at most ``HOT`` others for each of its keys.
 
 Exact copies (equal word sets) are one record until the end.
 """
@@ -33,7 +34,9 @@ from inkwell.session import cut_lineage, spread
 
 THRESHOLD = 0.8
 #: Beyond this many index rows it is cheaper to index the records of a key again than to compare them.
-HOT = 2_000
+HOT = 1_000
+#: Crowded keys are sent to all tasks up to this number (4 MB), and joined by a shuffle beyond it.
+MOST_BROADCAST = 500_000
 
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -155,7 +158,7 @@ def _keys(threshold: float):
 
 
 def _second_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Index rows of a crowded key ``(.., words)``, each with the keys of the record's other chunks."""
+    """Index rows of a crowded key ``(.., words)``, each with the keys of the record's later chunks."""
     memo = _Words()
     names = ["key", "cleared", "rep", "n", "low", "high", "chunks", "chunk"]
     for batch in batches:
@@ -164,7 +167,7 @@ def _second_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes, owner, _ = _flat(part.column(8).to_pylist(), memo)
             m = part.column(6).to_numpy().astype(np.int64)
             record, chunk, key, cleared = _chunk_keys(hashes, owner, m)
-            keep = chunk != part.column(7).to_numpy()[record]
+            keep = chunk > part.column(7).to_numpy()[record]
             record, key, cleared = record[keep], key[keep], cleared[keep]
             both = _mix(key ^ _mix(part.column(0).to_numpy().view(np.uint64)[record]))
             taken = part.take(pa.array(record))
@@ -184,7 +187,9 @@ def near_sets(sets: DataFrame, threshold: float = THRESHOLD, hot: int = HOT) ->
     close = (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * threshold - 1e-9) & (distance <= bound) & (F.col("a.rep") != F.col("b.rep"))
     meets = (F.col("a.key") == F.col("b.key")) & close
     ids = [F.least("a.rep", "b.rep").alias("rep_a"), F.greatest("a.rep", "b.rep").alias("rep_b")]
-    crowded = not crowds.isEmpty()
+    crowded = crowds.count()
+    if 0 < crowded <= MOST_BROADCAST:
+        crowds = F.broadcast(crowds)
     rows = index.select("key", "cleared", "rep", "n", "low", "high")
     if crowded:
         rows = rows.join(crowds, "key", "left_anti")
