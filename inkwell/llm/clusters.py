@@ -11,10 +11,10 @@ rows must reach the threshold; one that fails is divided at its best-connected
 row.
 
 The neighbours are bounded and found by an index, so that up to here a large
-cluster may lie in parts.  Parts are joined exactly: one row of each part, and
-each row in none, is compared with those of all others; what hangs together is
-one cluster if every two of its rows reach the threshold, and else its parts
-are joined, the largest first, as far as every two rows do.  Members are ranked
+cluster may lie in parts.  Parts are joined exactly: one row of each part is
+compared with those of all others; what hangs together is one cluster if every
+two of its rows reach the threshold, and else its parts are joined, the largest
+first, as far as every two rows do.  Members are ranked
 by their affinity to the rest of their cluster.
 """
 
@@ -331,12 +331,14 @@ def join_parts(good: DataFrame, classes: DataFrame, least: float) -> DataFrame:
 
     Rows of which every two reach ``least`` do so with the first rows of their
     parts as well: to compare these loses no two parts that belong together.
+    A row without any link is in no part and not compared again: it had been
+    asked for by each of its partners, and each of them by it.
     """
     first = good.groupBy("cluster").agg(F.min("rep").alias("part"))
     within = good.join(first, "cluster").select("rep", "part", "affinity")
     alone = classes.select("rep").join(within, "rep", "left_anti").select("rep", F.col("rep").alias("part"), F.lit(1.0).alias("affinity"))
     parts = cut_lineage(within.unionByName(alone))
-    exemplars = classes.join(parts.filter(F.col("rep") == F.col("part")).select("rep"), "rep", "left_semi").select("rep", "vec")
+    exemplars = classes.join(first.select(F.col("part").alias("rep")), "rep", "left_semi").select("rep", "vec")
     links = cut_lineage(exemplar_pairs(exemplars, least))
     same = parts.select(F.col("part").alias("cluster"), "rep", "affinity")
     if links.isEmpty():
@@ -386,5 +388,6 @@ def similarity_clusters(
     placed = members.join(join_parts(good, classes, least), "rep").select("rep", key, "cluster", "affinity")
     sizes = placed.groupBy("cluster").agg(F.count("*").alias("size"), F.min(key).alias("cluster_id")).filter(F.col("size") >= smallest)
     ranked = placed.join(sizes, "cluster")
-    rank = Window.partitionBy("cluster_id").orderBy(F.desc("affinity"), key)
+    # Sums in another order differ in their last digits.
+    rank = Window.partitionBy("cluster_id").orderBy(F.desc(F.round("affinity", 9)), key)
     return ranked.select("cluster_id", key, "size", F.row_number().over(rank).alias("typical"), "affinity")

@@ -51,7 +51,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each cluster's size and three most typical rows."""
     members = clusters.similarity_clusters(table(spark, sf_dir, "dataset"))
-    return members.filter(F.col("typical") <= 3)
+    return members.filter(F.col("typical") <= 3).withColumn("affinity", F.round("affinity", 6))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +111,13 @@ select qa_id_a, qa_id_b from p where i >= 0.8 * (n - i) - 1e-9""",
     "p4_found": f"""with {_USABLE},
 n as (select a, least(a, min(b)) as cluster_id, count(*) + 1 as size from s where c >= 0.75 group by a)
 select cluster_id, a as row_id from n qualify size >= 3 and count(*) over (partition by cluster_id) = size and min(size) over (partition by cluster_id) = size""",
+    "p4_clusters": f"""with {_USABLE},
+n as (select a, least(a, min(b)) as cluster_id, count(*) + 1 as size from s where c >= 0.75 group by a),
+m as (select cluster_id, a as row_id, size from n qualify size >= 3 and count(*) over (partition by cluster_id) = size and min(size) over (partition by cluster_id) = size),
+x as (select m.*, v.e, min(m.row_id) over (partition by cluster_id, v.e) as rep from m join v using (row_id)),
+t as (select a.cluster_id, a.row_id as rep, coalesce(avg(list_cosine_similarity(a.e, b.e)), 1.0) as affinity from x a left join x b on a.cluster_id = b.cluster_id and b.row_id = b.rep and b.rep <> a.rep where a.row_id = a.rep group by all)
+select x.cluster_id, x.row_id, x.size, cast(row_number() over (partition by x.cluster_id order by round(affinity, 9) desc, x.row_id) as int) as typical, round(affinity, 6) as affinity
+from x join t using (cluster_id, rep) qualify typical <= 3""",
     "p7_found": f"""with {_USABLE}, k as (select a, b, c from s qualify row_number() over (partition by a order by c desc, b) <= 5)
 select distinct least(a, b) as row_id_a, greatest(a, b) as row_id_b from k where c >= 0.75""",
     "p9_near": f"""with d as (select doc_id, {_WORDS.format('text')} as w from documents where text is not null),
